@@ -1,6 +1,7 @@
 """Queries over the test tables and the SQL they are compared with."""
 
 from checks.registry import ORACLES, QUERIES
-from checks import ingest  # noqa: F401  (registers its queries)
+from checks import (  # noqa: F401  (register their queries)
+    features, incremental, ingest, models, prep, relational)
 
 __all__ = ["ORACLES", "QUERIES"]
