@@ -12,14 +12,15 @@ from checks.registry import (
 from cinestrata.functions import modelset
 from cinestrata.operators import ordering, scaling
 from cinestrata.plans import assembly, evaluation, models, scoring
-from cinestrata.session import workspace
+from cinestrata.session import materialised, workspace
 
 Y, P = "actual_rating", "predicted_rating"
 LABEL = assembly.LABEL
 
 
 def _with_genre(spark, sf):
-    return model_set(spark, sf).withColumn("primary_genre", modelset.primary_genre())
+    movies = model_set(spark, sf).withColumn("primary_genre", modelset.primary_genre())
+    return materialised(movies, "model_set")
 
 
 def _parts(spark, sf):
@@ -33,9 +34,9 @@ def _scored(spark, sf):
     """
     train, test = _parts(spark, sf)
     predicted = models.fit_group_mean(train, "primary_genre").transform(test)
-    return predicted.select(
+    return materialised(predicted.select(
         "tconst", "primaryTitle", "genres", "numVotes", "startYear", "runtimeMinutes",
-        F.col(LABEL).alias(Y), F.round("prediction", 6).alias(P))
+        F.col(LABEL).alias(Y), F.round("prediction", 6).alias(P)), "scored")
 
 
 _S = ("(select tconst, primaryTitle, genres, numVotes, startYear, runtimeMinutes, actual_rating, "
@@ -103,31 +104,31 @@ best as (select * from cand where sign(wa) = sa and sign(wb) = sb
 
 
 @query("lasso_fit", _LASSO + """
-select 'runtimeMinutes' as feature, round(wa, 4) + 0.0 as coefficient from best
-union all select 'startYear', round(wb, 4) + 0.0 from best
-union all select '(intercept)', round(m, 4) + 0.0 from best""")
+select 'runtimeMinutes' as feature, round(wa, 3) + 0.0 as coefficient from best
+union all select 'startYear', round(wb, 3) + 0.0 from best
+union all select '(intercept)', round(m, 3) + 0.0 from best""")
 def lasso_fit(spark, sf):
     model = models.fit_lasso(_two_features(spark, sf), ["runtimeMinutes", "startYear"])
-    return rounded(models.coefficients(spark, model), 4)
+    return rounded(models.coefficients(spark, model), 3)
 
 
 @query("lasso_selected", _LASSO + """
-select 'runtimeMinutes' as feature, round(wa, 4) as coefficient from best where wa <> 0
-union all select 'startYear', round(wb, 4) from best where wb <> 0""")
+select 'runtimeMinutes' as feature, round(wa, 3) as coefficient from best where wa <> 0
+union all select 'startYear', round(wb, 3) from best where wb <> 0""")
 def lasso_selected(spark, sf):
     model = models.fit_lasso(_two_features(spark, sf), ["runtimeMinutes", "startYear"])
-    return rounded(models.selected_features(spark, model), 4)
+    return rounded(models.selected_features(spark, model), 3)
 
 
 # --- whole feature matrices ---------------------------------------------------------------
 
 def _matrix(spark, sf, version=2):
     """(train, test, features); statistics come from the training part."""
-    movies = model_set(spark, sf)
+    movies = materialised(model_set(spark, sf), "model_set")
     fit_on, _ = ordering.split(movies, "tconst", 33)
     build = assembly.assemble_v2 if version == 2 else assembly.assemble_v1
     matrix, names = build(movies, AS_OF_YEAR, fit_on=fit_on)
-    train, test = ordering.split(matrix.persist(), "tconst", 33)
+    train, test = ordering.split(materialised(matrix, "matrix"), "tconst", 33)
     return train, test, names
 
 
@@ -242,7 +243,8 @@ a as (select 'genre' as model, {_sql_metrics('pg')} from p
 b as (select r2 as base from a where model = 'genre')
 select model, round(r2, 6) as r2, round(rmse, 6) as rmse, round(mae, 6) as mae,
        round(r2 - base, 6) as gain, round((r2 - base) / base * 100, 4) as improvement_pct,
-       case when r2 = (select max(r2) from a) then 1 else 0 end as is_best
+       case when model = (select model from a order by round(r2, 9) desc, model desc limit 1)
+            then 1 else 0 end as is_best
 from a, b""")
 def model_comparison(spark, sf):
     train, test = _parts(spark, sf)
@@ -255,11 +257,11 @@ def model_comparison(spark, sf):
 @query("kfold_scores", """
 with f as (select averageRating as y,
              cast(('0x' || substr(md5(tconst), 1, 8)) as bigint) % 5 as fold from model_set),
-s as (select i.fold, 1 - avg(pow(f.y - i.m, 2)) / var_pop(f.y) as r2
+s as (select i.fold, 1 - avg(pow(f.y - i.m, 2)) / nullif(var_pop(f.y), 0) as r2
       from (select k.fold, avg(f.y) as m from f join (select distinct fold from f) k
             on f.fold <> k.fold group by k.fold) i
       join f on f.fold = i.fold group by i.fold)
-select count(*) as folds, round(avg(r2), 6) as mean_r2, round(stddev_pop(r2), 6) as std_r2,
+select count(r2) as folds, round(avg(r2), 6) as mean_r2, round(stddev_pop(r2), 6) as std_r2,
        round(min(r2), 6) as min_r2, round(max(r2), 6) as max_r2 from s""")
 def kfold_scores(spark, sf):
     return rounded(models.kfold(model_set(spark, sf), models.fit_mean, 5))
@@ -296,8 +298,9 @@ def error_bands(spark, sf):
 
 
 @query("overfit_verdict", """
-with p as (select b.bucket < 33 as test, averageRating as y, g.genre_mean as p
-           from bucketed b join genre_fit g on b.primary_genre = g.primary_genre),
+with p as (select b.bucket < 33 as test, averageRating as y, coalesce(g.genre_mean, (
+             select avg(averageRating) from bucketed where bucket >= 33)) as p
+           from bucketed b left join genre_fit g on b.primary_genre = g.primary_genre),
 m as (select (select 1 - avg(pow(y - p, 2)) / var_pop(y) from p where not test) as r2_train,
              (select 1 - avg(pow(y - p, 2)) / var_pop(y) from p where test) as r2_test)
 select round(r2_train, 6) as r2_train, round(r2_test, 6) as r2_test,
@@ -502,7 +505,7 @@ select tconst, case when not bad then round(p, 2) end as predicted_rating,
   case when bad then 'not a number: numVotes' end as error
 from p""")
 def score_batch(spark, sf):
-    refined = refined_ratings(spark, sf)
+    refined = materialised(refined_ratings(spark, sf), "refined")
     train, _ = ordering.split(refined, "tconst", 33)
     coded = train.withColumn("cat_excellent",
                              (F.col("rating_category") == "excellent").cast("double"))

@@ -9,6 +9,7 @@ from cinestrata.functions.tables import with_features
 from cinestrata.functions import modelset
 from cinestrata.operators import columns, encoding, ordering, scaling
 from cinestrata.plans import assembly
+from cinestrata.session import materialised
 
 _PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 _FIRST_GENRES = ("Drama", "Comedy", "Action", "Sci-Fi", "Music", "Musical")
@@ -180,6 +181,6 @@ select m.tconst, m.averageRating, {', '.join(_double(e, n) for n, e in _V2)}
 from model_set m left join years y on m.startYear = y.startYear
 left join stats s on m.primary_genre = s.primary_genre""")
 def feature_select_v2(spark, sf):
-    movies = model_set(spark, sf)
+    movies = materialised(model_set(spark, sf), "model_set")
     train, _ = ordering.split(movies, "tconst", 33)
     return rounded(assembly.assemble_v2(movies, AS_OF_YEAR, fit_on=train)[0])

@@ -8,31 +8,38 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cinestrata.session import checkpointed
 
-# A statistics table up to this many rows is broadcast; a larger one is shuffled.
-BROADCAST_ROWS = 200_000
+# A statistics table up to this size is broadcast; a larger one is shuffled.
+BROADCAST_BYTES = 64 * 1024 * 1024
 # A key with more than this share of the rows is joined apart from the others.
 HOT_SHARE = 0.01
 
 
+def _bytes(stats: DataFrame, key: str) -> int:
+    """Size of a checkpointed table of one key and numbers: fixed width plus key lengths."""
+    row = stats.agg(F.count(F.lit(1)).alias("n"), F.sum(
+        F.octet_length(F.col(key).cast("string"))).alias("key_bytes")).first()
+    return row["n"] * 16 * len(stats.columns) + (row["key_bytes"] or 0)
+
+
 def attach_stats(df: DataFrame, stats: DataFrame, key: str,
-                 broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Left join ``stats`` (one row per key) on ``df``.
+                 broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Left join ``stats`` (one row of numbers per key) on ``df``.
 
-    The statistics are written once to the checkpoint folder and counted there. A
+    The statistics are written once to the checkpoint folder and measured there. A
     small table is broadcast. Otherwise rows of frequent or missing keys are joined
     with the few statistics of those keys by broadcast, so that no task gets a whole
     hot group, and the remaining rows by a shuffled join.
     """
     stats = checkpointed(stats)
-    if stats.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if _bytes(stats, key) <= broadcast_bytes:
         return df.join(F.broadcast(stats), key, "left")
     # freqItems gives every key above the share, and at most 1/share keys in all.
     found = df.stat.freqItems([key], HOT_SHARE).first()[0]
     hot = [k for k in found if k is not None]
-    is_hot = F.col(key).isNull() | (F.col(key).isin(hot) if hot else F.lit(False))
-    by_broadcast = df.where(is_hot).join(
-        F.broadcast(stats.where(F.col(key).isin(hot) if hot else F.lit(False))), key, "left")
-    by_shuffle = df.where(~is_hot).join(stats, key, "left")
+    listed = F.col(key).isin(hot) if hot else F.lit(False)
+    is_hot = F.col(key).isNull() | listed
+    by_broadcast = df.where(is_hot).join(F.broadcast(stats.where(listed)), key, "left")
+    by_shuffle = df.where(~is_hot).join(stats.hint("merge"), key, "left")
     return by_broadcast.unionByName(by_shuffle)
 
 

@@ -12,13 +12,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# A bin is 1/256 of a power of two wide, and also at most 1/4096 of the value range.
-_PER_OCTAVE = 256
+# Bins per power of two. A histogram has as many rows as the values have bins: some ten
+# thousand for usual columns, and a bounded number for any column of doubles.
+_PER_OCTAVE = 4096
 _OFFSET = 1100 * _PER_OCTAVE  # above any exponent of a double
-_LINEAR = 4096
 
 
-def _log_bin(x: Column) -> Column:
+def _bin(x: Column) -> Column:
     """An integer that never decreases as ``x`` grows, with constant relative width."""
     size = (F.floor(F.log2(F.abs(x)) * _PER_OCTAVE) + _OFFSET).cast("bigint")
     return F.when(x == 0, F.lit(0).cast("bigint")).when(x < 0, -size).otherwise(size)
@@ -30,39 +30,36 @@ def exact_quantiles(df: DataFrame, column: str | Column,
     source = F.col(column) if isinstance(column, str) else column
     counts = (df.select(source.cast("double").alias("x")).where(F.col("x").isNotNull())
               .groupBy("x").agg(F.count(F.lit(1)).alias("n")))
-    span = counts.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()
-    share = F.try_divide(F.col("x") - span["lo"], span["hi"] - span["lo"])
-    binned = counts.select(
-        "x", "n", _log_bin(F.col("x")).alias("log_bin"),
-        F.coalesce(F.floor(share * (_LINEAR - 1)), F.lit(0)).cast("bigint").alias("lin_bin"))
-
-    # At most a few ten thousand bins exist whatever the data, so one task can add them up.
-    upto = Window.orderBy("log_bin", "lin_bin").rowsBetween(Window.unboundedPreceding, 0)
-    histogram = binned.groupBy("log_bin", "lin_bin").agg(F.sum("n").alias("n"))
+    binned = counts.select("x", "n", _bin(F.col("x")).alias("bin"))
+
+    upto = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    histogram = binned.groupBy("bin").agg(F.sum("n").alias("n"))
     running = histogram.select(
-        "log_bin", "lin_bin", (F.sum("n").over(upto) - F.col("n")).alias("before"),
+        "bin", (F.sum("n").over(upto) - F.col("n")).alias("before"),
         F.col("n"), F.sum("n").over(Window.partitionBy()).alias("total"))
-    position = [F.lit(float(p)) * (F.col("total") - 1) for p in probabilities]
-    wanted = F.array(*[
-        F.struct(F.lit(float(p)).alias("prob"), F.lit(side).alias("side"),
-                 rounding(h).cast("bigint").alias("rank"), (h - F.floor(h)).alias("fraction"))
-        for p, h in zip(probabilities, position)
-        for side, rounding in (("lo", F.floor), ("hi", F.ceil))])
-    here = F.filter(wanted, lambda w: (w["rank"] >= F.col("before"))
-                    & (w["rank"] < F.col("before") + F.col("n")))
-    targets = running.select("log_bin", "lin_bin", "before", F.inline(here))
-
-    # Two rows per probability: small enough to broadcast by construction.
-    candidates = binned.join(F.broadcast(targets), ["log_bin", "lin_bin"])
-    order = (Window.partitionBy("prob", "side").orderBy("x")
+    probs = F.expr(f"array({', '.join(f'{float(p)!r}D' for p in probabilities)})")
+    wanted = F.transform(probs, lambda p: F.struct(
+        p.alias("prob"), (p * (F.col("total") - 1)).alias("position")))
+
+    def holds(rank: Column) -> Column:
+        return (rank >= F.col("before")) & (rank < F.col("before") + F.col("n"))
+
+    here = F.filter(wanted, lambda w: holds(F.floor(w["position"])) | holds(F.ceil(w["position"])))
+    targets = running.select("bin", "before", F.inline(here))
+
+    # At most two rows per probability: small enough to broadcast by construction.
+    candidates = binned.join(F.broadcast(targets), "bin").repartition("prob")
+    order = (Window.partitionBy("prob", "bin").orderBy("x")
              .rowsBetween(Window.unboundedPreceding, 0))
-    reached = candidates.select(
-        "prob", "side", "fraction", "x", "rank",
-        (F.col("before") + F.sum("n").over(order)).alias("seen"))
-    value = {side: F.min(F.when((F.col("side") == side) & (F.col("seen") > F.col("rank")),
-                                F.col("x"))) for side in ("lo", "hi")}
-    return reached.groupBy("prob").agg(
-        (value["lo"] + (value["hi"] - value["lo"]) * F.first("fraction")).alias("value"))
+    reached = candidates.select("prob", "position", "x", (
+        F.col("before") + F.sum("n").over(order)).alias("seen"))
+
+    def value(rank: Column) -> Column:
+        return F.min(F.when(F.col("seen") > rank, F.col("x")))
+
+    lower, upper = value(F.floor("position")), value(F.ceil("position"))
+    fraction = F.any_value(F.col("position") - F.floor("position"))
+    return reached.groupBy("prob").agg((lower + (upper - lower) * fraction).alias("value"))
 
 
 def quantile(df: DataFrame, column: str | Column, probability: float) -> Column:

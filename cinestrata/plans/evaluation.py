@@ -90,20 +90,21 @@ def residual_histogram(df: DataFrame, y: str, p: str, bins: int = 50) -> DataFra
     r = _residual(y, p)
     s = df.agg(F.struct(F.min(r).alias("lo"), F.max(r).alias("hi"), F.count(r).alias("n"),
                         F.avg(r).alias("mean"), F.stddev_samp(r).alias("sd"))).scalar()
-    width = (s["hi"] - s["lo"]) / bins
-    place = F.least(F.floor(F.try_divide(F.col("r") - s["lo"], width)), F.lit(bins - 1))
-    filled = (df.select(r.alias("r")).where(F.col("r").isNotNull())
+    width = (F.col("s.hi") - F.col("s.lo")) / bins
+    place = F.least(F.floor(F.try_divide(F.col("r") - F.col("s.lo"), width)), F.lit(bins - 1))
+    filled = (df.select(r.alias("r"), s.alias("s")).where(F.col("r").isNotNull())
               .select(F.coalesce(place, F.lit(0)).cast("int").alias("bin"))
               .groupBy("bin").agg(F.count(F.lit(1)).alias("count")))
-    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"),
+                                               s.alias("s"))
     n = F.coalesce("count", F.lit(0))
-    centre = s["lo"] + width * (F.col("bin") + 0.5)
-    z = F.try_divide(centre - s["mean"], s["sd"])
-    bell = F.try_divide(F.exp(-z * z / 2), s["sd"] * F.sqrt(F.lit(2.0) * F.pi()))
+    z = F.try_divide(F.col("s.lo") + width * (F.col("bin") + 0.5) - F.col("s.mean"),
+                     F.col("s.sd"))
+    bell = F.try_divide(F.exp(-z * z / 2), F.col("s.sd") * F.sqrt(F.lit(2.0) * F.pi()))
     # Both sides hold at most ``bins`` rows.
     return every.join(F.broadcast(filled), "bin", "left").select(
-        "bin", (s["lo"] + width * F.col("bin")).alias("lower"), n.alias("count"),
-        F.try_divide(n.cast("double"), s["n"] * width).alias("density"),
+        "bin", (F.col("s.lo") + width * F.col("bin")).alias("lower"), n.alias("count"),
+        F.try_divide(n.cast("double"), F.col("s.n") * width).alias("density"),
         bell.alias("normal_density"))
 
 
@@ -117,15 +118,13 @@ def residual_boxplot(df: DataFrame, y: str, p: str) -> DataFrame:
 
     q = table.agg(F.struct(at(0.25).alias("q1"), at(0.5).alias("median"),
                            at(0.75).alias("q3"))).scalar()
-    reach = (q["q3"] - q["q1"]) * 1.5
-    rows = df.select(r.alias("r"), (q["q1"] - reach).alias("low"), (q["q3"] + reach).alias("high"))
-    inside = F.col("r").between(F.col("low"), F.col("high"))
-    return rows.agg(
+    reach = (F.col("q.q3") - F.col("q.q1")) * 1.5
+    inside = F.col("r").between(F.col("q.q1") - reach, F.col("q.q3") + reach)
+    return df.select(r.alias("r"), q.alias("q")).agg(
+        *[F.any_value(f"q.{n}").alias(n) for n in ("q1", "median", "q3")],
         F.min(F.when(inside, F.col("r"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("r"))).alias("whisker_high"),
-        F.count_if(~inside).alias("outliers"),
-    ).select(q["q1"].alias("q1"), q["median"].alias("median"), q["q3"].alias("q3"),
-             "whisker_low", "whisker_high", "outliers")
+        F.count_if(~inside).alias("outliers"))
 
 
 def qq_probabilities(points: int) -> list[float]:
@@ -136,9 +135,14 @@ def qq_points(df: DataFrame, y: str, p: str, points: int = 99) -> DataFrame:
     """Sample quantiles of the residuals beside the normal distribution's."""
     probs = qq_probabilities(points)
     normal = NormalDist()
-    theory = F.create_map(*[F.lit(v) for q in probs for v in (q, normal.inv_cdf(q))])
+
+    def numbers(values: list[float]) -> Column:
+        return F.expr(f"array({', '.join(f'{v!r}D' for v in values)})")
+
+    theory = F.map_from_arrays(numbers(probs), numbers([normal.inv_cdf(q) for q in probs]))
     return exact_quantiles(df, _residual(y, p), probs).select(
-        "prob", theory[F.col("prob")].alias("theoretical"), F.col("value").alias("sample"))
+        "prob", F.element_at(theory, F.col("prob")).alias("theoretical"),
+        F.col("value").alias("sample"))
 
 
 def ks_test(df: DataFrame, y: str, p: str) -> DataFrame:
@@ -166,7 +170,8 @@ def compare_models(named: dict[str, DataFrame], baseline: str) -> DataFrame:
     parts = [m.select(F.lit(name).alias("model"), "r2", "rmse", "mae")
              for name, m in named.items()]
     table = reduce(DataFrame.unionByName, parts)
-    best = table.agg(F.max_by("model", F.struct("r2", "model"))).scalar()
+    # Equal models differ in the last bits only; the name decides then.
+    best = table.agg(F.max_by("model", F.struct(F.round("r2", 9), "model"))).scalar()
     base = table.where(F.col("model") == baseline).select("r2").scalar()
     gain = F.col("r2") - base
     return table.select(

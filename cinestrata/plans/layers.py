@@ -14,7 +14,7 @@ from cinestrata.operators.quantiles import quantile
 from cinestrata.schema import NULL_TOKEN, PARTITION_COLUMNS, table
 from cinestrata.sources.catalog import register_table
 from cinestrata.sources.readers import read_layer, read_raw_tsv
-from cinestrata.sources.sinks import add_ingestion_metadata, write_layer
+from cinestrata.sources.sinks import add_ingestion_metadata, balanced, write_layer
 
 
 @dataclass(frozen=True)
@@ -26,6 +26,7 @@ class RunConfig:
     as_of_year: int
     database: str | None = None
     popular_share: float = 0.8
+    vote_threshold: float | None = None  # a known threshold spares the quantile's scan
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
@@ -53,9 +54,11 @@ def refine(trusted: DataFrame, name: str, cfg: RunConfig,
            votes_from: DataFrame | None = None) -> DataFrame:
     """The table's features; the popularity threshold comes from ``votes_from`` if given."""
     if name == "ratings":
-        source = trusted if votes_from is None else votes_from
-        return with_features(trusted, tables.ratings(
-            quantile(source, "numVotes", cfg.popular_share)))
+        threshold = cfg.vote_threshold
+        if threshold is None:
+            source = trusted if votes_from is None else votes_from
+            threshold = quantile(source, "numVotes", cfg.popular_share)
+        return with_features(trusted, tables.ratings(threshold))
     if name in tables.FEATURES:
         return with_features(trusted, tables.FEATURES[name](cfg.as_of_year))
     plain = [c for c in trusted.columns if not c.startswith("ingestion_")]
@@ -75,7 +78,7 @@ def run_table(spark: SparkSession, name: str, cfg: RunConfig, raw_path: str,
     spec = table(name)
     raw = read_raw_tsv(spark, raw_path, spec.raw_schema, null_token=NULL_TOKEN)
     clean = CLEANERS.get(name, clean_generic)(raw)
-    write_layer(add_ingestion_metadata(clean, cfg.run_ts), trusted_path)
+    write_layer(add_ingestion_metadata(balanced(clean), cfg.run_ts), trusted_path)
     trusted = of_run(read_layer(spark, trusted_path), cfg.run_ts)
     refined = refine(trusted, name, cfg)
     write_layer(refined, refined_path)

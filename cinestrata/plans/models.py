@@ -6,18 +6,19 @@ import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
-from itertools import combinations, combinations_with_replacement
 from typing import Protocol
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.regression import (
     GBTRegressor, LinearRegression, RandomForestRegressor)
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cinestrata.operators.lookup import attach_stats
 from cinestrata.operators.ordering import bucket
+from cinestrata.operators.scaling import product_sql, product_terms
 from cinestrata.plans.assembly import LABEL
 from cinestrata.plans.evaluation import metrics
 from cinestrata.session import ensure_checkpoint_dir
@@ -32,7 +33,10 @@ class Predictor(Protocol):
 
 
 def _fit(train: DataFrame, features: Sequence[str], learner) -> PipelineModel:
+    """Fit the learner on the columns, or on the one vector column named."""
     ensure_checkpoint_dir(train.sparkSession)
+    if len(features) == 1 and isinstance(train.schema[features[0]].dataType, VectorUDT):
+        return Pipeline(stages=[learner.setFeaturesCol(features[0])]).fit(train)
     assemble = VectorAssembler(inputCols=list(features), outputCol="features",
                                handleInvalid="keep")
     return Pipeline(stages=[assemble, learner]).fit(train)
@@ -50,7 +54,7 @@ def fit_ridge(train: DataFrame, features: Sequence[str], label: str = LABEL,
     Spark divides the squared error by the row count and scales the label by its
     deviation, so its penalty is ``alpha * deviation / rows``.
     """
-    row = train.agg(F.count(label).alias("n"), F.stddev_samp(label).alias("sd")).first()
+    row = train.agg(F.count(label).alias("n"), F.stddev_pop(label).alias("sd")).first()
     return _fit(train, features, LinearRegression(
         labelCol=label, solver="normal", standardization=False, elasticNetParam=0.0,
         regParam=alpha * row["sd"] / row["n"]))
@@ -95,11 +99,6 @@ def fit_gbt_careful(train: DataFrame, features: Sequence[str],
     return fit_gbt(train, features, label, depth=5, rate=0.05, min_leaf=10)
 
 
-def _terms(columns: Sequence[str], degree: int, interactions_only: bool) -> list[tuple]:
-    pick = combinations if interactions_only else combinations_with_replacement
-    return [t for d in range(1, degree + 1) for t in pick(columns, d)]
-
-
 @dataclass(frozen=True)
 class PolynomialModel:
     """A regression over products of columns, kept as one vector column."""
@@ -117,12 +116,9 @@ class PolynomialModel:
 def with_products(df: DataFrame, columns: Sequence[str], degree: int,
                   interactions_only: bool = False, out: str = "products") -> DataFrame:
     """Add one vector with all products of up to ``degree`` columns."""
-    def product(names: tuple) -> Column:
-        values = [F.col(f"`{n}`").cast("double") for n in names]
-        return reduce(lambda a, b: a * b, values)
-
-    terms = _terms(columns, degree, interactions_only)
-    return df.withColumn(out, array_to_vector(F.array(*[product(t) for t in terms])))
+    terms = product_terms(columns, degree, interactions_only)
+    return df.withColumn(out, array_to_vector(
+        F.expr(f"array({', '.join(product_sql(t) for t in terms)})")))
 
 
 def fit_poly(train: DataFrame, columns: Sequence[str], label: str = LABEL, degree: int = 3,

@@ -57,3 +57,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably, so a lost executor costs no recomputation."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialised(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once as parquet in the shared folder and read back.
+
+    For frames that several later jobs read: they get column pruning, pushed filters
+    and real sizes, and none of them repeats the work that made the frame.
+    """
+    path = workspace(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -26,7 +26,9 @@ def write_raw_tsv(df: DataFrame, path: str, null_token: str = NULL_TOKEN) -> Non
     """Write all columns as text in the raw layout (gzip, tabs, sentinel for NULL)."""
     text = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
     (text.write.option("header", True).option("sep", "\t").option("quote", "")
-     .option("nullValue", null_token).option("compression", "gzip").csv(path))
+     .option("nullValue", null_token).option("emptyValue", "")
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .option("compression", "gzip").csv(path))
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -50,7 +52,11 @@ def null_sentinel(df: DataFrame, token: str = NULL_TOKEN) -> DataFrame:
 
 
 def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
-    """Cast the named columns; a value that does not fit becomes NULL."""
+    """Cast the named columns; a value that does not fit becomes NULL.
+
+    A column that has its type already is left alone, so filters on it reach the scan.
+    """
+    have = {f.name: f.dataType.simpleString() for f in df.schema}
     return df.select(*[
-        F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns
-    ])
+        F.col(c).try_cast(types[c]).alias(c) if types.get(c, have[c]) != have[c] else F.col(c)
+        for c in df.columns])

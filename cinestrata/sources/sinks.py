@@ -16,12 +16,17 @@ def add_ingestion_metadata(df: DataFrame, run_ts: str, with_date: bool = False)
     return out.select("*", F.to_date(ts).alias("ingestion_date")) if with_date else out
 
 
+def balanced(df: DataFrame) -> DataFrame:
+    """Let AQE cut the rows into partitions of even size, however few files they came from."""
+    return df.hint("rebalance")
+
+
 def write_layer(df: DataFrame, path: str, layout: str = "ingestion") -> None:
     """Write a layer partitioned by run date, replacing only the dates it holds.
 
     ``layout='ymd'`` uses zero-padded ``year=/month=/day=`` folders instead of the
-    ingestion columns. The rebalance hint lets AQE even out file sizes, also when
-    the rows come from one unsplittable compressed file.
+    ingestion columns. The write itself shuffles nothing: rows from an unsplittable
+    compressed file should pass :func:`balanced` before their metadata is added.
     """
     keys = list(PARTITION_COLUMNS)
     if layout == "ymd":
@@ -33,5 +38,14 @@ def write_layer(df: DataFrame, path: str, layout: str = "ingestion") -> None:
         keys = list(names)
     elif layout != "ingestion":
         raise ValueError(f"unknown layout {layout!r}")
-    (df.hint("rebalance").write.mode("overwrite")
+    (df.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path))
+
+
+def write_bucketed(df: DataFrame, full_name: str, path: str, key: str, buckets: int) -> None:
+    """Write a catalog table bucketed and sorted by key: joins of such tables do not shuffle.
+
+    Rows are first brought together by bucket, so a bucket is one file, not one per task.
+    """
+    (df.repartition(buckets, key).write.mode("overwrite").format("parquet")
+     .option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(full_name))

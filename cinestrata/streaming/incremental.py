@@ -12,7 +12,7 @@ from cinestrata.operators.cleaning import CLEANERS
 from cinestrata.plans.layers import RunConfig, of_run, refine
 from cinestrata.schema import NULL_TOKEN, PARTITION_COLUMNS, TABLES, table
 from cinestrata.sources.readers import read_layer
-from cinestrata.sources.sinks import add_ingestion_metadata
+from cinestrata.sources.sinks import add_ingestion_metadata, balanced
 
 BATCH_COLUMN = "ingestion_batch"
 
@@ -48,7 +48,7 @@ def ingest_incremental(spark: SparkSession, raw_dir: str, name: str, out: str,
 
 def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     (df.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("bigint"))
-     .hint("rebalance").write.mode("overwrite")
+     .write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*PARTITION_COLUMNS, BATCH_COLUMN).parquet(path))
 
@@ -66,7 +66,7 @@ def incremental_medallion(spark: SparkSession, raw_dir: str, name: str, cfg: Run
         clean = CLEANERS[name](batch)
         if clean.isEmpty():
             return
-        _write_batch(add_ingestion_metadata(clean, cfg.run_ts), trusted_path, batch_id)
+        _write_batch(add_ingestion_metadata(balanced(clean), cfg.run_ts), trusted_path, batch_id)
         layer = read_layer(spark, trusted_path)
         mine = of_run(layer, cfg.run_ts).where(F.col(BATCH_COLUMN) == batch_id)
         _write_batch(refine(mine, name, cfg, votes_from=layer), refined_path, batch_id)
