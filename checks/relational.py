@@ -122,12 +122,12 @@ def director_fame_exploded(spark, sf):
 with top as (select tconst, nconst from t_principals where ordering <= 3),
 fame as (select t.nconst, avg(r.averageRating) as fame
          from top t join c_ratings r on t.tconst = r.tconst group by t.nconst)
-select t.tconst, round(avg(f.fame), 6) as avg_actor_fame, round(max(f.fame), 6) as max_actor_fame,
-       round(min(f.fame), 6) as min_actor_fame
+select t.tconst, round(avg(f.fame), 8) as avg_actor_fame, round(max(f.fame), 8) as max_actor_fame,
+       round(min(f.fame), 8) as min_actor_fame
 from top t join fame f on t.nconst = f.nconst group by t.tconst""")
 def star_power(spark, sf):
     return rounded(people.star_power(
-        trusted(spark, sf, "principals"), trusted(spark, sf, "ratings")))
+        trusted(spark, sf, "principals"), trusted(spark, sf, "ratings")), 8)
 
 
 _IDS = [f"tt{i:07d}" for i in (1, 3, 7, 12, 25, 33, 48, 57, 61, 99, 120, 131)]

@@ -1,8 +1,8 @@
 """Top-n, deterministic samples and splits.
 
-``orderBy(...).limit(n)`` ends in one task that reads up to n rows of every input
-partition. That is right for a short report. For larger n the functions here first
-cut the input to little more than n rows, exactly.
+``orderBy(...).limit(n)`` keeps up to n rows of every input partition and hands them
+to one task. That is right for a short report. For larger n the functions here first
+see to it that this task gets few rows.
 """
 
 from __future__ import annotations
@@ -13,11 +13,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # Up to this n the plain top-n plan is used.
 SHORT_REPORT = 1000
-_GROUPS = 256
-
-
-def _drop(df: DataFrame, *names: str) -> DataFrame:
-    return df.drop(*names)
 
 
 def top_n(df: DataFrame, order: Sequence[Column], n: int, where: Column | None = None,
@@ -26,12 +21,8 @@ def top_n(df: DataFrame, order: Sequence[Column], n: int, where: Column | None =
     if where is not None:
         df = df.where(where)
     if n > SHORT_REPORT:
-        # First n of each group of input partitions; Spark applies this rank limit
-        # before the shuffle too, so the last task reads _GROUPS * n rows at most.
-        grouped = df.withColumn("__part", F.spark_partition_id() % _GROUPS)
-        rank = F.row_number().over(Window.partitionBy("__part").orderBy(*order))
-        df = _drop(grouped.withColumn("__rank", rank).where(F.col("__rank") <= n),
-                   "__part", "__rank")
+        # As many partial results as the cluster has tasks at a time, not one per file split.
+        df = df.coalesce(4 * df.sparkSession.sparkContext.defaultParallelism)
     return df.orderBy(*order).limit(n).select(*columns)
 
 
@@ -67,7 +58,7 @@ def sample_n(df: DataFrame, n: int, key: str, seed: str = "") -> DataFrame:
     running = histogram.select("__bin", (F.sum("rows").over(upto) - F.col("rows")).alias("before"))
     last = running.where(F.col("before") < n).agg(F.max("__bin")).scalar()
     kept = marked.where(F.col("__bin") <= last)
-    return _drop(kept.orderBy("__digest", key).limit(n), "__digest", "__number", "__bin")
+    return kept.orderBy("__digest", key).limit(n).drop("__digest", "__number", "__bin")
 
 
 def bucket(key: str, buckets: int = 100, seed: str = "") -> Column:

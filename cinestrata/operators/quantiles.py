@@ -2,8 +2,8 @@
 
 ``percentile`` keeps every distinct value of the column in one aggregation buffer.
 Here the values stay distributed: equal values are counted first, a histogram of
-bounded size tells which bins hold the wanted ranks, and only the distinct values
-of those bins are ordered.
+bounded size tells which bins hold the wanted ranks, a second one cuts those bins
+finer, and only the distinct values of the cut are ordered.
 """
 
 from __future__ import annotations
@@ -12,46 +12,70 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Bins per power of two. A histogram has as many rows as the values have bins: some ten
-# thousand for usual columns, and a bounded number for any column of doubles.
-_PER_OCTAVE = 4096
+# Bins per power of two: some ten thousand for usual columns, and a bounded number for
+# any column of doubles, so one task can add the histogram up.
+_PER_OCTAVE = 256
 _OFFSET = 1100 * _PER_OCTAVE  # above any exponent of a double
+# Equal parts each bin with a wanted rank is cut into.
+_PARTS = 4096
 
 
 def _bin(x: Column) -> Column:
-    """An integer that never decreases as ``x`` grows, with constant relative width."""
-    size = (F.floor(F.log2(F.abs(x)) * _PER_OCTAVE) + _OFFSET).cast("bigint")
+    """An integer that never decreases as ``x`` grows, with constant relative width.
+
+    It is never NULL, which keeps the join on it from adding a filter below the counts:
+    so both uses of the counts have the same plan and share one shuffle.
+    """
+    octave = F.least(F.log2(F.abs(x)), F.lit(1025.0))  # infinity comes after every number
+    size = F.coalesce(F.floor(octave * _PER_OCTAVE) + _OFFSET, F.lit(0)).cast("bigint")
     return F.when(x == 0, F.lit(0).cast("bigint")).when(x < 0, -size).otherwise(size)
 
 
 def exact_quantiles(df: DataFrame, column: str | Column,
                     probabilities: Sequence[float]) -> DataFrame:
-    """``(prob, value)``: linearly interpolated quantiles of the column's values."""
+    """``(prob, value)``: linearly interpolated quantiles of the column's numbers."""
     source = F.col(column) if isinstance(column, str) else column
-    counts = (df.select(source.cast("double").alias("x")).where(F.col("x").isNotNull())
+    counts = (df.select(source.cast("double").alias("x"))
+              .where(F.col("x").isNotNull() & ~F.isnan("x"))
               .groupBy("x").agg(F.count(F.lit(1)).alias("n")))
     binned = counts.select("x", "n", _bin(F.col("x")).alias("bin"))
 
     upto = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    histogram = binned.groupBy("bin").agg(F.sum("n").alias("n"))
+    histogram = binned.groupBy("bin").agg(
+        F.sum("n").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
     running = histogram.select(
-        "bin", (F.sum("n").over(upto) - F.col("n")).alias("before"),
+        "bin", "lo", "hi", (F.sum("n").over(upto) - F.col("n")).alias("before"),
         F.col("n"), F.sum("n").over(Window.partitionBy()).alias("total"))
-    probs = F.expr(f"array({', '.join(f'{float(p)!r}D' for p in probabilities)})")
-    wanted = F.transform(probs, lambda p: F.struct(
-        p.alias("prob"), (p * (F.col("total") - 1)).alias("position")))
 
-    def holds(rank: Column) -> Column:
-        return (rank >= F.col("before")) & (rank < F.col("before") + F.col("n"))
+    def holds(position: Column) -> Column:
+        """The bin has the rank just below or just above the position."""
+        first, last = F.col("before"), F.col("before") + F.col("n")
+        return ((F.floor(position) >= first) & (F.floor(position) < last)
+                | (F.ceil(position) >= first) & (F.ceil(position) < last))
 
-    here = F.filter(wanted, lambda w: holds(F.floor(w["position"])) | holds(F.ceil(w["position"])))
-    targets = running.select("bin", "before", F.inline(here))
-
-    # At most two rows per probability: small enough to broadcast by construction.
-    candidates = binned.join(F.broadcast(targets), "bin").repartition("prob")
-    order = (Window.partitionBy("prob", "bin").orderBy("x")
+    probs = F.expr(f"array({', '.join(f'{float(p)!r}D' for p in probabilities)})")
+    wanted = F.transform(probs, lambda p, i: F.struct(
+        i.alias("target"), p.alias("prob"), (p * (F.col("total") - 1)).alias("position")))
+    bins = running.select("bin", "lo", "hi", F.col("before").alias("start"), F.inline(
+        F.filter(wanted, lambda w: holds(w["position"]))))
+
+    # At most two bins per probability: small enough to broadcast by construction.
+    share = F.try_divide(F.col("x") - F.col("lo"), F.col("hi") - F.col("lo"))
+    inside = binned.join(F.broadcast(bins), "bin").select(
+        "target", "bin", "start", "prob", "position", "x", "n",
+        F.coalesce(F.floor(share * (_PARTS - 1)), F.lit(0)).cast("bigint").alias("part"))
+    within = (Window.partitionBy("target", "bin").orderBy("part")
+              .rowsBetween(Window.unboundedPreceding, 0))
+    parts = (inside.groupBy("target", "bin", "start", "position", "part")
+             .agg(F.sum("n").alias("n"))
+             .withColumn("before", F.col("start") + F.sum("n").over(within) - F.col("n"))
+             .where(holds(F.col("position"))).select("target", "bin", "part", "before"))
+
+    # One shuffle by target serves both the running count and the final grouping.
+    few = inside.join(F.broadcast(parts), ["target", "bin", "part"]).repartition("target")
+    order = (Window.partitionBy("target", "bin", "part").orderBy("x")
              .rowsBetween(Window.unboundedPreceding, 0))
-    reached = candidates.select("prob", "position", "x", (
+    reached = few.select("target", "prob", "position", "x", (
         F.col("before") + F.sum("n").over(order)).alias("seen"))
 
     def value(rank: Column) -> Column:
@@ -59,7 +83,10 @@ def exact_quantiles(df: DataFrame, column: str | Column,
 
     lower, upper = value(F.floor("position")), value(F.ceil("position"))
     fraction = F.any_value(F.col("position") - F.floor("position"))
-    return reached.groupBy("prob").agg((lower + (upper - lower) * fraction).alias("value"))
+    return reached.groupBy("target").agg(
+        F.any_value("prob").alias("prob"),
+        F.when(lower == upper, lower).otherwise(lower + (upper - lower) * fraction)
+        .alias("value")).drop("target")
 
 
 def quantile(df: DataFrame, column: str | Column, probability: float) -> Column:

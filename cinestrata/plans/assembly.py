@@ -19,6 +19,7 @@ from cinestrata.operators.columns import align_features, columns_with_prefix
 from cinestrata.operators.encoding import categories, decade_dummies, genre_dummies, one_hot
 from cinestrata.operators.lookup import with_group_count, with_group_stat
 from cinestrata.operators.scaling import minmax
+from cinestrata.schema import RUN_COLUMNS
 
 KEY = "tconst"
 LABEL = "averageRating"
@@ -36,8 +37,9 @@ INTERACTIONS = ("runtime_x_action", "runtime_x_drama", "runtime_x_comedy",
 
 
 def build_model_set(ratings: DataFrame, basics: DataFrame, min_votes: int = 100) -> DataFrame:
-    """Rated movies: both filters run below the join."""
-    return filter_rated(ratings, min_votes).join(filter_movies(basics), KEY)
+    """Rated movies: both filters run below the join. Run columns come from the ratings only."""
+    movies = filter_movies(basics).drop(*RUN_COLUMNS)
+    return filter_rated(ratings, min_votes).join(movies, KEY)
 
 
 def with_genre_stats(df: DataFrame, fit_on: DataFrame | None = None) -> DataFrame:

@@ -26,6 +26,13 @@ def test_like_numpy(spark, values):
         assert got[p] == pytest.approx(np.quantile(values, p), rel=1e-12, abs=1e-12)
 
 
+def test_nan_is_no_number_and_infinity_comes_last(spark):
+    df = spark.createDataFrame(
+        [(float("nan"),), (float("inf"),), (float("-inf"),), (1.0,), (2.0,)], "x double")
+    got = {r["prob"]: r["value"] for r in exact_quantiles(df, "x", [0.0, 1 / 3, 1.0]).collect()}
+    assert got == {0.0: float("-inf"), 1 / 3: 1.0, 1.0: float("inf")}
+
+
 def test_no_values(spark):
     df = spark.createDataFrame([(None,)], "x double")
     assert exact_quantiles(df, "x", [0.5]).collect() == []
