@@ -17,14 +17,14 @@ from cinestrata.sources import readers
 from cinestrata.streaming import incremental
 
 
-def _raw(df, name):
+def raw_columns(df, name):
     """The view's columns in the raw table's order; a column the view lacks is NULL."""
     return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c)
                        for c in TABLES[name].columns])
 
 
 def _arrive(df, name, raw_dir, label):
-    readers.write_raw_tsv(_raw(df, name), f"{raw_dir}/{label}/{TABLES[name].file_name}")
+    readers.write_raw_tsv(raw_columns(df, name), f"{raw_dir}/{label}/{TABLES[name].file_name}")
 
 
 @query("incremental_ingest", "select * from c_ratings")
