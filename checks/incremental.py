@@ -10,7 +10,7 @@ from checks.registry import AS_OF_YEAR, RUN_TS, query, view
 from checks.features import _sql_size
 from cinestrata.functions import tables
 from cinestrata.operators.ordering import bucket
-from cinestrata.plans.layers import RunConfig, run_table
+from cinestrata.plans.layers import RunConfig, run_table, run_tables
 from cinestrata.schema import TABLES
 from cinestrata.session import workspace
 from cinestrata.sources import readers
@@ -115,9 +115,11 @@ def layer_run_all_tables(spark, sf):
     root = workspace(spark, "layers")
     cfg = RunConfig(root, RUN_TS, AS_OF_YEAR)
     parts = []
-    for name in _LAYER_ROWS:
+    paths = {name: f"{root}/raw/day1/{TABLES[name].file_name}" for name in _LAYER_ROWS}
+    for name in paths:
         _arrive(view(spark, sf, f"t_{name}"), name, f"{root}/raw", "day1")
-        run_table(spark, name, cfg, f"{root}/raw/day1/{TABLES[name].file_name}")
+    run_tables(spark, cfg, paths)
+    for name in paths:
         refined = readers.read_layer(spark, cfg.path("refined", name))
         wanted = tables.FEATURES[name](AS_OF_YEAR) if name in tables.FEATURES else tables.ratings(0)
         parts.append(refined.select(*wanted).groupBy().agg(

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.registry import (
-    AS_OF_YEAR, model_set, query, refined_ratings, rounded, trusted, view)
+    AS_OF_YEAR, model_set, query, refined_ratings, rounded, view)
 from cinestrata.functions import modelset
 from cinestrata.operators import ordering, scaling
 from cinestrata.plans import assembly, evaluation, models, scoring

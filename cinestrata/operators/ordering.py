@@ -32,8 +32,11 @@ def head_n(df: DataFrame, n: int, key: str) -> DataFrame:
 
 
 def digest(key: str, seed: str = "") -> Column:
-    """A reproducible random-looking text per row: the md5 of seed and key."""
-    value = F.col(key).cast("string")
+    """A reproducible random-looking text per row: the md5 of seed and key.
+
+    A missing key counts as empty text, so that samples and splits lose no row.
+    """
+    value = F.coalesce(F.col(key).cast("string"), F.lit(""))
     return F.md5(F.concat(F.lit(seed), value) if seed else value)
 
 

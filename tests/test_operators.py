@@ -64,6 +64,14 @@ def test_sample_is_exact(spark, n):
     assert got == set(keys[:n])
 
 
+def test_rows_without_key_are_kept(spark):
+    df = spark.createDataFrame([(None, i) for i in range(30)] + [("a", 30)], "key string, v int")
+    assert ordering.sample_n(df, 100, "key").count() == 31
+    assert ordering.sample_n(df, 20, "key").count() == 20
+    train, test = ordering.split(df, "key", 50)
+    assert train.count() + test.count() == 31
+
+
 def test_split_is_a_partition(spark):
     df = spark.range(5000).select(F.col("id").cast("string").alias("key"))
     train, test = ordering.split(df, "key", 20)
