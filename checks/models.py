@@ -186,15 +186,22 @@ def feature_importance(spark, sf):
     return models.importance(spark, models.fit_forest_regularised(train, names), 10)
 
 
-@query("model_roundtrip")
+@query("model_roundtrip", """
+select count(*) as rows, cast(0 as bigint) as changed, 39 as n_features
+from bucketed where bucket < 33""")
 def model_roundtrip(spark, sf):
     train, test, names = _matrix(spark, sf)
     fitted = models.fit_forest_regularised(train, names)
     path = workspace(spark, "model")
     models.save_model(spark, fitted, path, {"features": names, "metrics": {"r2_cv": 0.4}})
     loaded, info = models.load_model(spark, path)
-    return loaded.transform(test).select(
-        "tconst", "prediction", F.lit(len(info["features"])).alias("n_features"))
+    # Scored by both models one after the other: loading must change no prediction.
+    before = fitted.transform(test).select("*", F.col("prediction").alias("before")).drop(
+        "features", "prediction")
+    return loaded.transform(before).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("before") != F.col("prediction")).alias("changed"),
+        F.lit(len(info["features"])).alias("n_features"))
 
 
 # --- ensembles, folds, comparison -----------------------------------------------------------
@@ -267,8 +274,23 @@ def kfold_scores(spark, sf):
     return rounded(models.kfold(model_set(spark, sf), models.fit_mean, 5))
 
 
-@query("kfold_scores_linear")
+@query("kfold_scores_linear", """
+with f as (select averageRating as y, runtimeMinutes as x,
+             cast(('0x' || substr(md5(tconst), 1, 8)) as bigint) % 3 as fold from model_set),
+m as (select k.fold, regr_slope(f.y, f.x) as a, regr_intercept(f.y, f.x) as b
+      from f join (select distinct fold from f) k on f.fold <> k.fold group by k.fold),
+s as (select 1 - avg(pow(f.y - a * f.x - b, 2)) / var_pop(f.y) as r2
+      from f join m on f.fold = m.fold group by f.fold)
+select count(r2) as folds, round(avg(r2), 6) as mean_r2, round(stddev_pop(r2), 6) as std_r2,
+       round(min(r2), 6) as min_r2, round(max(r2), 6) as max_r2 from s""")
 def kfold_scores_linear(spark, sf):
+    movies = materialised(model_set(spark, sf), "model_set")
+    return rounded(models.kfold(
+        movies, lambda part: models.fit_linear(part, ["runtimeMinutes"]), 3))
+
+
+@query("kfold_scores_v1")
+def kfold_scores_v1(spark, sf):
     train, _, names = _matrix(spark, sf, version=1)
     return models.kfold(train, lambda part: models.fit_linear(part, names), 5)
 
