@@ -3,20 +3,28 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cinestrata.llm import bpe
+from cinestrata.llm import bpe, simhash
 from cinestrata.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprint and near-duplicate component of every document."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded to ids and decoded again."""
     return bpe.round_trip(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
 QUERIES = {
+    "op5_simhash": op5_simhash,
     "op8_byte_bpe": op8_byte_bpe,
 }
 
