@@ -5,8 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cinestrata.llm import bpe, simhash
+from cinestrata.llm import bpe, simhash, warc
 from cinestrata.llm.common import table
+from cinestrata.session import workspace
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -23,9 +24,36 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC files and read back."""
+    folder = workspace(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc.read_archives(spark, folder)
+
+
 QUERIES = {
     "op5_simhash": op5_simhash,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_warc": op9_warc,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op9_warc": """
+with payloads as (select page_id, coalesce(html, '') as payload from pages),
+digests as (
+  select page_id, payload, sha1(payload) as sha, max(page_id) over (partition by payload) as first
+  from payloads),
+quints as (
+  select *, list_transform(range(0, 8), lambda g:
+    cast('0x' || substr(sha, cast(g * 5 + 1 as int), 5) as bigint)) as q from digests)
+select page_id, cast(strlen(payload) as bigint) as payload_bytes,
+  list_aggregate(list_transform(q, lambda v:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast((v >> 15) & 31 as int) + 1, 1) ||
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast((v >> 10) & 31 as int) + 1, 1) ||
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast((v >> 5) & 31 as int) + 1, 1) ||
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast(v & 31 as int) + 1, 1)),
+    'string_agg', '') as payload_digest,
+  case when page_id = first then 'response' else 'revisit' end as record_type,
+  case when page_id = first then null else first end as refers_to
+from quints""",
+}
