@@ -5,13 +5,22 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cinestrata.llm import bpe, simhash, warc
-from cinestrata.llm.common import table
-from cinestrata.session import workspace
+from cinestrata.llm import bpe, mixing, simhash, warc
+from cinestrata.llm.common import narrowed, table
+from cinestrata.session import materialised, workspace
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words the mix takes of every document."""
+    docs = narrowed(table(spark, sf_dir, "documents"), doc_id="long", source="string",
+                    text="string")
+    sizes = materialised(docs.select("doc_id", "source", mixing.word_count(F.col("text"))
+                                     .alias("size")), "sizes")
+    return mixing.mixed(sizes).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fingerprint and near-duplicate component of every document."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -32,12 +41,93 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_mixing": op2_mixing,
     "op5_simhash": op5_simhash,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_warc": op9_warc,
 }
 
 ORACLES = {
+    "op2_mixing": """
+with recursive docs as (
+  select doc_id, source, cast(coalesce(length(regexp_replace(regexp_replace(
+    text, '[^\\x20\\x09-\\x0D]+', 'w', 'g'), '[\\x20\\x09-\\x0D]+', '', 'g')), 0) as bigint) as size
+  from documents),
+sized as (select source, cast(sum(size) as bigint) as source_size from docs group by source),
+ranked as (
+  select *, row_number() over (order by source nulls last) - 1 as rank,
+    (select cast(sum(size) as bigint) from docs) as total from sized),
+weighed as (
+  select *, case rank % 3 when 0 then 5 when 1 then 2 else 1 end as weight,
+    3 * source_size as cap from ranked),
+by_ratio as (
+  select *, cast(cap as double) / weight as ratio,
+    (total - coalesce(sum(cap) over w, 0)) as left_over,
+    sum(weight) over v as open_weight
+  from weighed
+  window w as (order by cast(cap as double) / weight, rank
+               rows between unbounded preceding and 1 preceding),
+         v as (order by cast(cap as double) / weight, rank
+               rows between current row and unbounded following)),
+level as (
+  select cast(cast(left_over as bigint) as double) / cast(open_weight as bigint) as level
+  from by_ratio where cast(left_over as double) / open_weight <= ratio
+  order by ratio, rank limit 1),
+claims as (
+  select source, source_size, least(weight * level, cast(cap as double)) as target, rank,
+    cast(floor(total / 64) as bigint) as seats,
+    greatest(1, cast(ceil(source_size / 4194304) as bigint)) as shards
+  from weighed, level),
+quotients as (
+  select source, rank, seats, k, target / (2 * k + 1) as quotient
+  from claims, unnest(range(0, seats)) as t(k) where target > 0),
+source_seats as (
+  select source, count(*) as source_seats from (
+    select *, row_number() over (order by quotient desc, rank, k) as n from quotients)
+  where n <= seats group by source),
+dealt as (
+  select d.*, c.source_size, c.target, coalesce(s.source_seats, 0) as source_seats,
+    md5('vmix:' || coalesce('v' || d.doc_id, 'n')) as digest, c.shards
+  from docs d join claims c on d.source is not distinct from c.source
+  left join source_seats s on d.source is not distinct from s.source),
+numbered as (
+  select *, cast('0x' || substr(digest, 1, 8) as bigint) % shards as shard from dealt),
+shards as (
+  select source, shard, source_seats, cast(sum(size) as bigint) as words
+  from numbered group by all),
+shard_quotients as (
+  select source, shard, source_seats, words / (2 * k + 1) as quotient, k
+  from shards, unnest(range(0, source_seats)) as t(k) where words > 0),
+quotas as (
+  select source, shard, count(*) as quota from (
+    select *, row_number() over (partition by source order by quotient desc, shard, k) as n
+    from shard_quotients) where n <= source_seats group by source, shard),
+filled as (
+  select s.source, s.shard, cast(ceil(s.words / 64) as bigint) as blocks,
+    least(coalesce(q.quota, 0), 3 * cast(ceil(s.words / 64) as bigint)) as quota
+  from shards s left join quotas q
+    on s.source is not distinct from q.source and s.shard = q.shard),
+block_digests as (
+  select source, shard, b, row_number() over (partition by source, shard order by
+    md5('vmix:' || coalesce('v' || source, 'n') || ':v' || shard || ':v' || b)) as n
+  from filled, unnest(range(0, blocks)) as t(b)),
+placed as (
+  select *, sum(size) over (partition by source, shard order by digest, doc_id, size
+    rows between unbounded preceding and current row) - size as start from numbered),
+once_more as (
+  select p.doc_id, sum(least((b + 1) * 64, start + size) - greatest(b * 64, start)) as words
+  from placed p
+  join filled f on p.source is not distinct from f.source and p.shard = f.shard
+  join block_digests d on d.source is not distinct from p.source and d.shard = p.shard
+    and d.b between floor(start / 64) and floor((start + size - 1) / 64)
+    and d.n <= f.quota % f.blocks
+  where p.size > 0 group by p.doc_id)
+select p.doc_id, p.size, p.source_size, p.target,
+  cast(p.size * case when f.blocks > 0 then f.quota // f.blocks else 0 end
+    + coalesce(o.words, 0) as bigint) as taken
+from placed p
+join filled f on p.source is not distinct from f.source and p.shard = f.shard
+left join once_more o on p.doc_id = o.doc_id""",
     "op9_warc": """
 with payloads as (select page_id, coalesce(html, '') as payload from pages),
 digests as (
