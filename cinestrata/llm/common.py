@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 # White space of the word rule that all operators share: blank and the five controls from tab on.
 SPACES = r"[\x20\x09-\x0D]"
@@ -62,3 +64,30 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
 
 def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), dtype="<u4")
+
+
+def annotated(docs: DataFrame, run, fields: str) -> DataFrame:
+    """``docs`` as column ``row`` beside the columns that ``run`` makes of each Arrow batch.
+
+    ``run`` turns batches with the one column ``row`` into batches of the new columns and is
+    given pieces of bounded size, so names of the table never clash with new ones.
+    """
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    schema = T.StructType([*rows.schema.fields, *T.StructType.fromDDL(fields).fields])
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make = run()
+        for batch in batches:
+            texts = pc.struct_field(batch.column("row"), "text")
+            beside = pa.RecordBatch.from_arrays([batch.column("row"), texts], ["row", "text"])
+            for piece in pieces([beside], "text"):
+                yield pa.RecordBatch.from_arrays(
+                    [piece.column("row"), *make(texts_of(piece))], schema.names)
+
+    return rows.mapInArrow(whole, schema)
+
+
+@lru_cache(maxsize=1)
+def letter_table() -> np.ndarray:
+    """Whether each code point is a letter."""
+    return np.array([unicodedata.category(chr(c))[0] == "L" for c in range(0x110000)])

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cinestrata.llm import bpe, mixing, simhash, warc
+from cinestrata.llm import bpe, language, mixing, simhash, warc
 from cinestrata.llm.common import narrowed, table
 from cinestrata.session import materialised, workspace
 
@@ -21,6 +21,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(sizes).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
+    return language.identified(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fingerprint and near-duplicate component of every document."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -42,6 +47,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_mixing": op2_mixing,
+    "op3_language": op3_language,
     "op5_simhash": op5_simhash,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_warc": op9_warc,
