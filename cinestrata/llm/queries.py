@@ -5,13 +5,18 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cinestrata.llm import bpe, language, mixing, simhash, warc
+from cinestrata.llm import bpe, language, mixing, pii, simhash, warc
 from cinestrata.llm.common import narrowed, table
 from cinestrata.session import materialised, workspace
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words the mix takes of every document."""
     docs = narrowed(table(spark, sf_dir, "documents"), doc_id="long", source="string",
@@ -46,6 +51,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op2_mixing": op2_mixing,
     "op3_language": op3_language,
     "op5_simhash": op5_simhash,
