@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cinestrata.llm import bpe, language, mixing, pii, simhash, warc
+from cinestrata.llm import bpe, language, licenses, mixing, pii, simhash, warc
 from cinestrata.llm.common import narrowed, table
 from cinestrata.session import materialised, workspace
 
@@ -31,6 +31,15 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identified(table(spark, sf_dir, "documents"))
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def _template_rows() -> str:
+    return ", ".join(f"('{name}', '{text}')" for name, text in licenses.TEMPLATES.items())
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fingerprint and near-duplicate component of every document."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -54,6 +63,7 @@ QUERIES = {
     "op1_pii": op1_pii,
     "op2_mixing": op2_mixing,
     "op3_language": op3_language,
+    "op4_licenses": op4_licenses,
     "op5_simhash": op5_simhash,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_warc": op9_warc,
@@ -140,6 +150,34 @@ select p.doc_id, p.size, p.source_size, p.target,
 from placed p
 join filled f on p.source is not distinct from f.source and p.shard = f.shard
 left join once_more o on p.doc_id = o.doc_id""",
+    "op4_licenses": f"""
+with texts as (
+  select doc_id, coalesce(text, '') as text from documents),
+words as (
+  select doc_id, list_filter(regexp_split_to_array(lower(text), '[^\\pL\\pM\\pN]+'),
+    lambda w: w <> '') as w from texts),
+shingles as (
+  select doc_id, p as start, w[p + 1] || ' ' || w[p + 2] || ' ' || w[p + 3] as shingle
+  from words, unnest(range(0, len(w) - 2)) as t(p)),
+templates(license, t_text) as (values {_template_rows()}),
+t_words as (
+  select license, list_filter(regexp_split_to_array(lower(t_text), '[^\\pL\\pM\\pN]+'),
+    lambda w: w <> '') as w from templates),
+t_shingles as (
+  select distinct license, w[p + 1] || ' ' || w[p + 2] || ' ' || w[p + 3] as shingle
+  from t_words, unnest(range(0, len(w) - 2)) as t(p)),
+spans as (select license, count(*) as span from t_shingles group by license),
+hits as (
+  select s.doc_id, t.license, s.start, s.shingle, n.span
+  from shingles s join t_shingles t using (shingle) join spans n using (license)),
+places as (
+  select h.doc_id, h.license, h.start, count(distinct o.shingle) / h.span as containment
+  from hits h join hits o on h.doc_id = o.doc_id and h.license = o.license
+    and o.start >= h.start and o.start < h.start + h.span
+  group by h.doc_id, h.license, h.start, h.span)
+select doc_id, license, max(containment) as containment,
+  cast(arg_min(start, (-containment, start)) as bigint) as word_start
+from places where containment >= 0.8 group by doc_id, license""",
     "op9_warc": """
 with payloads as (select page_id, coalesce(html, '') as payload from pages),
 digests as (
