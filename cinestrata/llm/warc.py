@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cinestrata.llm.common import narrowed, pieces
 from cinestrata.operators.quantiles import exact_quantiles
+from cinestrata.session import materialised
 
 DATE = "2025-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -47,11 +48,11 @@ def _clean(value: str) -> str:
     return "".join(c if c >= " " and c != "\x7f" else f"%{ord(c):02X}" for c in value)
 
 
-def record(page_id: int | None, url: str | None, payload: bytes | None, length: int, digest: str,
+def record(page_id: int | None, url: str | None, payload: bytes, digest: str,
            refers_to: int | None, revisit: bool, date: str = DATE) -> bytes:
-    """One record, compressed as a member of its own. A revisit has no payload, only its length."""
+    """One record, compressed as a member of its own. A revisit keeps only its payload's length."""
     http = ("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
-            f"Content-Length: {length}\r\n\r\n").encode()
+            f"Content-Length: {len(payload)}\r\n\r\n").encode()
     block = http if revisit else http + payload
     sha = base64.b32encode(hashlib.sha1(block).digest()).decode()
     lines = ["WARC/1.0", f"WARC-Type: {'revisit' if revisit else 'response'}",
@@ -111,29 +112,22 @@ def parsed(member: bytes) -> tuple[int | None, int, str, str, int | None]:
             number("X-Refers-To-Page-ID"))
 
 
-def _assigned(pages: DataFrame, least_bytes: int) -> DataFrame:
-    """Rows with digest and length, and for revisits the id of their response and no payload."""
-    rows = narrowed(pages, page_id="long", url="string", html="string").select(
-        "page_id", "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload"))
-    rows = rows.select("*", F.sha1("payload").alias("sha"),
-                       F.octet_length("payload").cast("long").alias("length"))
-    shared = (rows.where(F.col("length") >= least_bytes).groupBy("sha")
+def _revisits(digests: DataFrame, least_bytes: int) -> DataFrame:
+    """``page_id, sha, first`` of the rows that revisit another, once each."""
+    shared = (digests.where(F.col("length") >= least_bytes).groupBy("sha")
               .agg(F.max("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
               .where("n > 1 and first is not null").select("sha", "first"))
-    revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
-    return rows.join(shared, "sha", "left").select(
-        "page_id", "url", "sha", "length", revisit.alias("revisit"),
-        F.when(revisit, F.col("first")).alias("refers_to"),
-        F.when(~revisit, F.col("payload")).alias("payload"))
+    return digests.join(shared, "sha").where(
+        ~F.col("page_id").eqNullSafe(F.col("first"))).select("page_id", "sha", "first").distinct()
 
 
-def _bounds(pages: DataFrame, shard_bytes: int) -> list[int]:
+def _bounds(digests: DataFrame, shard_bytes: int) -> list[int]:
     """Ids at which shards begin: exact quantiles, so they depend on the table alone."""
-    total = pages.select(F.sum(F.octet_length("html"))).first()[0] or 0
+    total = digests.select(F.sum("length")).first()[0] or 0
     shards = math.ceil(total / max(shard_bytes, total / 10_000)) if total else 1
     if shards < 2:
         return []
-    found = exact_quantiles(pages, "page_id", [i / shards for i in range(1, shards)]).collect()
+    found = exact_quantiles(digests, "page_id", [i / shards for i in range(1, shards)]).collect()
     return sorted({math.ceil(r["value"]) for r in found})
 
 
@@ -141,7 +135,7 @@ def _writer(folder: str, temporary: str, file_bytes: int, date: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = pafs.FileSystem.from_uri(folder)
         attempt, out, shard, part = uuid.uuid4().hex, None, None, 0
-        name, size, records, sha = "", 0, 0, hashlib.sha256()
+        name, size, records, sha, mark = "", 0, 0, hashlib.sha256(), (None, None, None)
 
         def done() -> pa.RecordBatch:
             out.close()
@@ -152,6 +146,10 @@ def _writer(folder: str, temporary: str, file_bytes: int, date: str):
 
         for batch in pieces(batches, "payload"):
             for r in batch.to_pylist():
+                if r["first"] is not None and r["payload"] is None:
+                    mark = (r["page_id"], r["sha"], r["first"])
+                    continue
+                revisit = mark[:2] == (r["page_id"], r["sha"])
                 if out is not None and (r["shard"] != shard or size >= file_bytes):
                     yield done()
                     out = None
@@ -162,8 +160,8 @@ def _writer(folder: str, temporary: str, file_bytes: int, date: str):
                     name = f"pages-{shard:06d}-{part:05d}.warc.gz"
                     out = fs.open_output_stream(
                         f"{base}/{temporary}/{attempt}-{name}", compression=None)
-                data = record(r["page_id"], r["url"], r["payload"], r["length"],
-                              base32_digest(r["sha"]), r["refers_to"], r["revisit"], date)
+                data = record(r["page_id"], r["url"], r["payload"], base32_digest(r["sha"]),
+                              mark[2] if revisit else None, revisit, date)
                 out.write(data)
                 sha.update(data)
                 size += len(data)
@@ -199,20 +197,28 @@ def write_archives(pages: DataFrame, folder: str, shard_bytes: int = 16 << 20,
     the header. Payloads below ``least_bytes`` are always responses. Rows that share payload
     and the largest id are all responses. An empty table gives an empty manifest.
     """
-    bounds = _bounds(pages, shard_bytes)
+    rows = narrowed(pages, page_id="long", url="string", html="string").select(
+        "page_id", F.coalesce("html", F.lit("")).cast("binary").alias("payload"), "url")
+    rows = rows.withColumn("sha", F.sha1("payload"))
+    digests = materialised(rows.select("page_id", "sha", F.octet_length("payload").cast("long")
+                                       .alias("length")), "page-digests")
+    bounds = _bounds(digests, shard_bytes)
     shard = F.lit(0).cast("long")
     if bounds:
-        listed = F.array(*[F.lit(b) for b in bounds]) if len(bounds) < 100 else F.expr(
-            f"array({', '.join(f'{b}L' for b in bounds)})")
-        shard = F.coalesce(F.size(F.filter(listed, lambda b: b <= F.col("page_id"))),
-                           F.lit(0)).cast("long")
-    rows = _assigned(pages, least_bytes).withColumn("shard", F.when(
-        F.col("page_id").isNull(), F.lit(0).cast("long")).otherwise(shard))
+        listed = F.expr(f"array({', '.join(f'{b}L' for b in bounds)})")
+        shard = F.coalesce(F.when(F.col("page_id").isNull(), F.lit(0)).otherwise(
+            F.size(F.filter(listed, lambda b: b <= F.col("page_id")))), F.lit(0)).cast("long")
+    # Marks of revisits go the same way as the rows and sort before them: one shuffle of pages.
+    none = F.lit(None)
+    both = rows.select("page_id", "sha", "url", "payload", none.cast("long").alias("first")).union(
+        _revisits(digests, least_bytes).select("page_id", "sha", none, none, "first"))
+    both = both.withColumn("shard", shard)
     fs, base = pafs.FileSystem.from_uri(folder)
     temporary = "_temporary"
     fs.create_dir(f"{base}/{temporary}")
-    written = (rows.repartition(len(bounds) + 1, "shard")
-               .sortWithinPartitions("shard", "page_id", "sha", "url")
+    written = (both.repartition(len(bounds) + 1, "shard")
+               .sortWithinPartitions("shard", "page_id", "sha", F.col("first").asc_nulls_last(),
+                                     "url")
                .mapInArrow(_writer(folder, temporary, file_bytes, date), _FILES))
     pending = f"{folder}/_pending"
     written.write.parquet(pending)

@@ -65,7 +65,7 @@ def test_renaming_may_run_again(spark, root):
 
 
 def test_damage_is_found():
-    data = warc.record(1, "u", b"payload", 7, warc.base32_digest(hashlib.sha1(b"payload").hexdigest()),
+    data = warc.record(1, "u", b"payload", warc.base32_digest(hashlib.sha1(b"payload").hexdigest()),
                        None, False)
     assert [warc.parsed(m)[0] for m in warc.members(io.BytesIO(data * 3))] == [1, 1, 1]
     with pytest.raises(ValueError):
