@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cinestrata.llm import bpe, language, licenses, mixing, pii, quality, simhash, warc
+from cinestrata.llm import bpe, digest, language, licenses, mixing, pii, quality, simhash, warc
 from cinestrata.llm.common import narrowed, table
 from cinestrata.session import materialised, workspace
 
@@ -47,6 +47,11 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op6_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and their likeness."""
+    return digest.compared_with_next(table(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and the verdict of the learned rules for every document."""
     docs = table(spark, sf_dir, "documents")
@@ -71,6 +76,7 @@ QUERIES = {
     "op3_language": op3_language,
     "op4_licenses": op4_licenses,
     "op5_simhash": op5_simhash,
+    "op6_digest": op6_digest,
     "op7_quality": op7_quality,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_warc": op9_warc,
