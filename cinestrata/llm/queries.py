@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cinestrata.llm import bpe, digest, language, licenses, mixing, pii, quality, simhash, warc
+from cinestrata.llm import bpe, digest, language, licenses, mixing, pii, quality, repeats, simhash, warc
 from cinestrata.llm.common import narrowed, table
 from cinestrata.session import materialised, workspace
 
@@ -70,6 +70,11 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, folder)
 
 
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without byte strings that occur elsewhere."""
+    return repeats.without_repeats(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_mixing": op2_mixing,
@@ -80,6 +85,7 @@ QUERIES = {
     "op7_quality": op7_quality,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_warc": op9_warc,
+    "op10_repeats": op10_repeats,
 }
 
 ORACLES = {
