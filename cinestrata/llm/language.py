@@ -3,7 +3,7 @@
 A text becomes a vector of hashed letter trigrams, logarithmic counts weighed by inverse
 document frequency and normalised. Per language, spherical k-means over a bounded sample of
 labelled rows gives a few centroids. The language of the nearest centroid by cosine wins; a
-text farther away than the sample's texts of similar length ever were is rejected.
+text much farther away than nearly all of the sample's texts of similar length is rejected.
 """
 
 from __future__ import annotations
@@ -22,7 +22,8 @@ SAMPLE_ROWS = 4000       # labelled rows the model is fitted on, shared by the l
 LANGUAGES = 400          # at most so many languages, those with most rows
 CENTROIDS = 4
 ROUNDS = 12
-MARGIN = 0.35            # of the least cosine in the sample at a length
+MARGIN = 0.35            # of the cosine that nearly all of the sample reaches at a length
+RARE = 0.01              # share of the sample below that cosine
 UNKNOWN = "und"
 SHORT_LEAST = 0.05       # the most that is asked of texts under 64 trigrams
 _LENGTHS = 24            # powers of two of a text's trigrams
@@ -83,20 +84,20 @@ class Model:
 
 
 def _clustered(vectors: np.ndarray) -> np.ndarray:
-    """Up to ``CENTROIDS`` unit centroids; starts are the mean's nearest text and the farthest ones."""
-    mean = vectors.mean(axis=0)
-    chosen = [int((vectors @ mean).argmax())]
-    nearest = vectors @ vectors[chosen[0]]
-    while len(chosen) < min(CENTROIDS, len(vectors)):
-        chosen.append(int(nearest.argmin()))
-        nearest = np.maximum(nearest, vectors @ vectors[chosen[-1]])
-    centres = vectors[chosen]
+    """Up to ``CENTROIDS`` unit centroids, started at texts of evenly spread likeness to the mean.
+
+    A centroid with under one in a hundred of the texts is an outlier's and is left out.
+    """
+    ranked = np.argsort(vectors @ vectors.mean(axis=0), kind="stable")
+    number = min(CENTROIDS, len(vectors))
+    centres = vectors[ranked[[(2 * i + 1) * len(ranked) // (2 * number) for i in range(number)]]]
     for _ in range(ROUNDS):
         own = (vectors @ centres.T).argmax(axis=1)
         centres = np.stack([vectors[own == k].mean(axis=0) if (own == k).any() else c
                             for k, c in enumerate(centres)])
         centres /= np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-12)
-    return centres
+    members = np.bincount((vectors @ centres.T).argmax(axis=1), minlength=len(centres))
+    return centres[members > len(vectors) / 100]
 
 
 def held_out(doc_id: Column) -> Column:
@@ -160,7 +161,7 @@ def fit(docs: DataFrame) -> Model:
     least, length = np.ones(_LENGTHS), _length(total)
     for b in range(_LENGTHS):
         near = cosine[np.abs(length - b) <= 1]
-        least[b] = MARGIN * near.min() if len(near) else 1.0    # 1: nothing seen
+        least[b] = MARGIN * np.quantile(near, RARE) if len(near) else 1.0    # 1: nothing seen
     # Cosines of few trigrams say little; lengths that the sample lacks go by the next shorter.
     for b in range(_LENGTHS):
         if b < _SHORT:
