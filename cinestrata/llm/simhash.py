@@ -62,16 +62,24 @@ def fingerprint(text: str) -> int:
     return int(np.packbits(ones * 2 > len(values), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """``doc_id, fp`` (the fingerprint as a signed long) of each row's whole text."""
+def fingerprints(docs: DataFrame, mark: str | None = None) -> DataFrame:
+    """``doc_id, fp`` (the fingerprint as a signed long) of each row's whole text.
+
+    A column of longs named by ``mark`` comes along.
+    """
+    columns = ["doc_id", *([mark] if mark else [])]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
             values = np.array([fingerprint(t or "") for t in batch.column("text").to_pylist()],
                               np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(values.view(np.int64))], ["doc_id", "fp"])
+                [*(batch.column(c) for c in columns), pa.array(values.view(np.int64))],
+                [*columns, "fp"])
 
-    return narrowed(docs, doc_id="long", text="string").mapInArrow(run, "doc_id long, fp long")
+    types = {c: "long" for c in columns}
+    return narrowed(docs, **types, text="string").mapInArrow(
+        run, ", ".join(f"{c} long" for c in columns) + ", fp long")
 
 
 def pivot_table(fps: np.ndarray) -> np.ndarray:
@@ -226,6 +234,14 @@ def linked_fingerprints(fps: DataFrame, held: int = HELD) -> DataFrame:
     return links.union(more).distinct()
 
 
+def near_duplicates_by(docs: DataFrame, mark: str | None = None) -> DataFrame:
+    """``doc_id, fp, component`` (and ``mark``): the component is named by one of its fingerprints."""
+    rows = materialised(fingerprints(docs, mark), "fingerprints")
+    labels = components(linked_fingerprints(rows.select("fp").distinct()))
+    return rows.join(labels, rows.fp == labels.node, "left").select(
+        "doc_id", *([mark] if mark else []), "fp", F.coalesce("component", "fp").alias("component"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, fp, component_id`` for each row: the smallest doc_id its text is linked to.
 
