@@ -13,6 +13,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import struct
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
@@ -44,7 +45,8 @@ START, IN_LETTERS, IN_NUMBERS, IN_OTHERS, IN_SPACE, GLUE, DONE, ONE_MORE, TWO_MO
 CLASSES = STATES = 9
 GROUP = 4     # classes read by one table look-up
 BLOCK = 64    # look-ups in a block of the scan
-CACHED = 200_000
+CACHED = 250_000
+LONGEST = 128     # bytes of pieces that are cached, and merged without a heap
 IDS = np.dtype("<u4")
 
 
@@ -144,25 +146,52 @@ def piece_starts(points: np.ndarray, breaks: np.ndarray) -> np.ndarray:
 
 
 class Merger(dict):
-    """Bytes of a piece to its ids as little-endian bytes; keeps at most ``CACHED`` pieces."""
+    """Bytes of a piece to its ids as little-endian bytes.
+
+    Holds two generations of at most ``CACHED`` pieces: when the young one is full it becomes
+    the old one, and pieces met again move to the young one, so frequent pieces stay.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
         self.ranks = ranks
+        self.old: dict[bytes, bytes] = {}
 
     def __missing__(self, piece: bytes) -> bytes:
-        ids = np.array(self.merged(piece), dtype=IDS).tobytes()
+        ids = self.old.get(piece)
+        if ids is None:
+            merged = self.merged(piece)
+            ids = struct.pack(f"<{len(merged)}I", *merged)
         if len(self) >= CACHED:
+            self.old = dict(self)
             self.clear()
-        if len(piece) <= 256:
+        if len(piece) <= LONGEST:
             self[piece] = ids
         return ids
 
     def merged(self, piece: bytes) -> list[int]:
         """Merges the pair of lowest rank, the leftmost of several, until no pair has a rank."""
+        if piece in self.ranks:
+            return [self.ranks[piece]]
+        return self._short(piece) if len(piece) <= LONGEST else self._long(piece)
+
+    def _short(self, piece: bytes) -> list[int]:
+        get, none = self.ranks.get, len(self.ranks)
+        parts = [piece[i:i + 1] for i in range(len(piece))]
+        pairs = [get(piece[i:i + 2], none) for i in range(len(piece) - 1)]
+        while pairs and (least := min(pairs)) < none:
+            i = pairs.index(least)
+            now = parts[i] = parts[i] + parts.pop(i + 1)
+            del pairs[i]
+            if i < len(pairs):
+                pairs[i] = get(now + parts[i + 1], none)
+            if i:
+                pairs[i - 1] = get(parts[i - 1] + now, none)
+        return [self.ranks[p] for p in parts]
+
+    def _long(self, piece: bytes) -> list[int]:
+        """The same with a heap, so that time stays near the length of the piece."""
         ranks = self.ranks
-        if piece in ranks:
-            return [ranks[piece]]
         n = len(piece)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = [(r, i, i + 2) for i in range(n - 1)

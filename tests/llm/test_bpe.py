@@ -98,3 +98,10 @@ def test_merging_long_pieces_is_bounded(codec):
     (ids, offsets), = codec.encode([text])
     assert codec.decode(ids, offsets) == text.encode()
     assert len(codec.merger) == 0
+
+
+def test_both_ways_of_merging_agree(codec):
+    for text in noise(4, 200):
+        piece = text.encode()[:bpe.LONGEST]
+        if piece:
+            assert codec.merger._short(piece) == codec.merger._long(piece)
