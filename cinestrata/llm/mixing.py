@@ -145,16 +145,15 @@ def mixed(docs: DataFrame, seed: str = "mix", block: int = BLOCK, shard_words: i
     shards = dealt.groupBy("source", "shard", "source_seats").agg(F.sum("size").alias("words"))
     quotas = apportioned(shards, ["source"], "words", "source_seats", ["shard"], "quota")
     blocks = F.ceil(F.col("words") / block).cast("long")
-    quota = F.least(F.col("quota"), blocks * most)
-    passes = F.coalesce(F.try_divide(quota - quota % blocks, blocks), F.lit(0)).cast("long")
+    quota, some = F.least(F.col("quota"), blocks * most), F.greatest(blocks, F.lit(1))
+    passes, left = F.floor(quota / some).cast("long"), quota % some
 
     def block_digest(number: Column) -> Column:
         return F.md5(_text_key(F.lit(seed), F.col("source"), F.col("shard"), number))
 
     # The digest up to which a shard's blocks are taken once more.
-    rest = F.when(quota % blocks > 0, F.sort_array(F.transform(
-        F.sequence(F.lit(0).cast("long"), blocks - 1), block_digest))[
-        (quota % blocks - 1).cast("int")])
+    rest = F.when(left > 0, F.sort_array(F.transform(
+        F.sequence(F.lit(0).cast("long"), blocks - 1), block_digest))[(left - 1).cast("int")])
     quotas = materialised(quotas.select("source", "shard", passes.alias("passes"),
                                         rest.alias("last")), "shard-quotas")
 
