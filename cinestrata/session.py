@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,9 +40,12 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    folder = tempfile.mkdtemp(prefix="cinestrata-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
+
+
+@lru_cache(maxsize=1)
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="cinestrata-")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -51,8 +55,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def workspace(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/cinestrata/{label}-{uuid.uuid4().hex[:12]}"
+    """A new, unused path in this application's part of the shared folder."""
+    return f"{_workspaces(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def _workspaces(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/cinestrata/{spark.sparkContext.applicationId}"
+
+
+def drop_workspaces(spark: SparkSession) -> None:
+    """Delete what this application has written under :func:`workspace` and nothing else.
+
+    To be called when its frames are no longer read; a long application may call it between jobs.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(_workspaces(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

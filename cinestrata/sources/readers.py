@@ -13,9 +13,10 @@ def read_raw_tsv(spark: SparkSession, path: str | list[str], schema: T.StructTyp
 
     An unbalanced ``"`` is ordinary text here; the reader's default quote would let
     it swallow the next tab. With ``null_token`` the sentinel becomes NULL while
-    reading. A compressed file is one task, so writers ask Spark to rebalance.
+    reading. A header with other names, or in another order, than the schema is an error.
+    A compressed file is one task, so writers ask Spark to rebalance.
     """
-    reader = (spark.read.schema(schema).option("header", True)
+    reader = (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
               .option("sep", "\t").option("quote", ""))
     if null_token is not None:
         reader = reader.option("nullValue", null_token)
@@ -32,9 +33,13 @@ def write_raw_tsv(df: DataFrame, path: str, null_token: str = NULL_TOKEN) -> Non
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read a comma-separated training file with a header and declared types."""
-    return (spark.read.schema(schema).option("header", True)
-            .option("escape", '"').option("multiLine", False).csv(path))
+    """Read a comma-separated training file with a header and declared types.
+
+    A quoted value may hold line breaks, so a file is one task. The header must name the
+    schema's columns in their order.
+    """
+    return (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+            .option("escape", '"').option("multiLine", True).csv(path))
 
 
 def read_layer(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:

@@ -2,10 +2,13 @@
 
 import gzip
 import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
 
+from cinestrata import session
 from cinestrata.operators import cleaning
 from cinestrata.plans.layers import RunConfig, run_table
 from cinestrata.schema import NULL_TOKEN, PARTITION_COLUMNS, table
@@ -107,7 +110,7 @@ def test_run_table_skips_and_forces(spark, root):
     path = f"{root}/raw/title.ratings.tsv.gz"
     put(path, "tconst\taverageRating\tnumVotes\n" + "".join(
         f"tt{i}\t{1 + i % 9}.5\t{i}\n" for i in range(1, 101)))
-    cfg = RunConfig(root, RUN, 2024, database="tests_db")
+    cfg = RunConfig(root, RUN, 2024, database="tests_db_runs")
     assert [run_table(spark, "ratings", cfg, path, force=f)
             for f in (False, False, True)] == [True, False, True]
     refined = readers.read_layer(spark, f"{root}/refined/ratings")
@@ -117,3 +120,28 @@ def test_run_table_skips_and_forces(spark, root):
     cut = votes[int(0.8 * (len(votes) - 1))]
     popular = {r["numVotes"] for r in refined.where("is_popular = 1").collect()}
     assert popular == {v for v in votes if v > cut} | ({cut} if cut in popular else set())
+
+
+def test_csv_values_with_line_breaks(spark, root):
+    os.makedirs(root)
+    with open(f"{root}/a.csv", "w") as f:
+        f.write('id,title\n1,"two\nlines, ""quoted"""\n2,plain\n')
+    got = readers.read_csv(spark, f"{root}/a.csv", "id int, title string").collect()
+    assert [(r["id"], r["title"]) for r in got] == [(1, 'two\nlines, "quoted"'), (2, "plain")]
+
+
+def test_workspaces_are_dropped(spark):
+    path = session.workspace(spark, "gone")
+    spark.range(3).write.parquet(path)
+    other = f"{session.shared_dir(spark)}/mine"
+    spark.range(3).write.parquet(other)
+    assert path.startswith(session.shared_dir(spark)) and spark.read.parquet(path).count() == 3
+    session.drop_workspaces(spark)
+    assert not os.path.exists(path) and spark.read.parquet(other).count() == 3
+
+
+def test_a_local_session_has_a_folder_without_settings():
+    code = ("from cinestrata.session import local_session, materialised\n"
+            "s = local_session(1)\nprint(materialised(s.range(3), 'x').count())")
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
+    assert out.stdout.strip() == "3", out.stderr[-2000:]
