@@ -20,8 +20,9 @@ _GENRES = _FIRST_GENRES + ("Romance", "War", "Thriller", "Crime")
     f"case when content_rating = '{p}' then 1 else 0 end as \"content_{p}\""
     for p in _PRIORITIES) + " from t_movies")
 def onehot(spark, sf):
-    coded = encoding.one_hot(view(spark, sf, "t_movies").select("movie_id", "content_rating"),
-                             "content_rating", "content")
+    movies = view(spark, sf, "t_movies").select("movie_id", "content_rating")
+    coded = encoding.one_hot(movies, "content_rating", "content",
+                             encoding.categories(movies, "content_rating"))
     return coded.drop("content_rating")
 
 
@@ -29,8 +30,9 @@ def onehot(spark, sf):
     f"case when content_rating = '{p}' then 1 else 0 end as \"content_{p}\""
     for p in _PRIORITIES[1:]) + " from t_movies")
 def onehot_drop_first(spark, sf):
-    coded = encoding.one_hot(view(spark, sf, "t_movies").select("movie_id", "content_rating"),
-                             "content_rating", "content", drop_first=True)
+    movies = view(spark, sf, "t_movies").select("movie_id", "content_rating")
+    coded = encoding.one_hot(movies, "content_rating", "content",
+                             encoding.categories(movies, "content_rating"), drop_first=True)
     return coded.drop("content_rating")
 
 

@@ -212,6 +212,17 @@ def generic(columns: list[str]) -> Features:
     return {"completeness_score": filled, "primary_key_length": F.length(columns[0])}
 
 
+def extended(name: str, as_of_year: int, genres: list[str]) -> Features | None:
+    """The second variant of a table's features, None for tables that have one variant.
+
+    ``genres`` are the names that get a flag each, by substring as in the title's genre text.
+    """
+    if name == "basics":
+        flags = {f"genre_{g.lower()}": mentions("genres", g) for g in genres}
+        return {**basics_compact(as_of_year), **flags}
+    return {"crew": crew_filtered, "principals": principals_onehot}.get(name, lambda: None)()
+
+
 FEATURES: dict[str, Callable[[int], Features]] = {
     "basics": lambda year: basics(),
     "crew": lambda year: crew(),

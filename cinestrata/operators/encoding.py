@@ -10,25 +10,21 @@ from cinestrata.functions.bands import flag
 from cinestrata.functions.modelset import decade, primary_genre
 from cinestrata.operators.aggregates import last_keys, top_names
 
-# Categories become columns, so their number must suit a table's width.
-MAX_CATEGORIES = 1000
-
 
 def categories(df: DataFrame, column: str) -> list:
-    """The distinct values in ascending order, refused beyond ``MAX_CATEGORIES``."""
-    found = (df.select(column).where(F.col(column).isNotNull()).distinct()
-             .limit(MAX_CATEGORIES + 1).collect())
-    if len(found) > MAX_CATEGORIES:
-        raise ValueError(
-            f"{column} has over {MAX_CATEGORIES} values; name the values to encode, or use "
-            "one_hot_vector for a sparse vector")
+    """The distinct values of a column known to have few, in ascending order."""
+    found = df.select(column).where(F.col(column).isNotNull()).distinct().collect()
     return sorted(r[0] for r in found)
 
 
-def one_hot(df: DataFrame, column: str, prefix: str, values: Sequence | None = None,
+def one_hot(df: DataFrame, column: str, prefix: str, values: Sequence,
             drop_first: bool = False) -> DataFrame:
-    """Add one 0/1 column ``prefix_value`` per value; NULL has no indicator."""
-    names = list(values) if values is not None else categories(df, column)
+    """Add one 0/1 column ``prefix_value`` per named value; NULL has no indicator.
+
+    Values become columns, so the caller names them; :func:`one_hot_vector` takes a column of
+    any number of values.
+    """
+    names = list(values)
     if drop_first:
         names = names[1:]
     return df.select("*", *[

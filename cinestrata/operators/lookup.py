@@ -6,9 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cinestrata.session import checkpointed
+from cinestrata.session import checkpointed, materialised
 
-# A statistics table up to this size is broadcast; a larger one is shuffled.
+# A statistics table up to this size is broadcast; a larger one is shuffled. The size is that of
+# the bare values; the hash table built of them takes several times as much.
 BROADCAST_BYTES = 64 * 1024 * 1024
 # A key with more than this share of the rows is joined apart from the others.
 HOT_SHARE = 0.01
@@ -33,6 +34,8 @@ def attach_stats(df: DataFrame, stats: DataFrame, key: str,
     stats = checkpointed(stats)
     if _bytes(stats, key) <= broadcast_bytes:
         return df.join(F.broadcast(stats), key, "left")
+    # The rows are read to find hot keys, then for each of the two joins: written once.
+    df = materialised(df, "probe")
     # freqItems gives every key above the share, and at most 1/share keys in all.
     found = df.stat.freqItems([key], HOT_SHARE).first()[0]
     hot = [k for k in found if k is not None]

@@ -1,34 +1,64 @@
 """Top-n, deterministic samples and splits.
 
 ``orderBy(...).limit(n)`` keeps up to n rows of every input partition and hands them
-to one task. That is right for a short report. For larger n the functions here first
-see to it that this task gets few rows.
+to one task. That is right for a report, whose n is small. For an n that is part of the
+data's own size, the functions here cut the rows first, so that this task gets few more
+than n.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-# Up to this n the plain top-n plan is used.
-SHORT_REPORT = 1000
+from cinestrata.operators.quantiles import number_bin
+
+# Bytes of a text behind the common beginning that tell its bin.
+_CODE_BYTES = 7
 
 
 def top_n(df: DataFrame, order: Sequence[Column], n: int, where: Column | None = None,
           columns: Sequence[str | Column] = ("*",)) -> DataFrame:
-    """The first n rows by ``order``, whose last column must be unique."""
+    """The first n rows by ``order``, whose last column must be unique; for reports of a few rows."""
     if where is not None:
         df = df.where(where)
-    if n > SHORT_REPORT:
-        # As many partial results as the cluster has tasks at a time, not one per file split.
-        df = df.coalesce(4 * df.sparkSession.sparkContext.defaultParallelism)
     return df.orderBy(*order).limit(n).select(*columns)
 
 
+def _text_bin(df: DataFrame, key: str) -> Column:
+    """A number that grows with the text: its bytes after those that all texts begin with."""
+    ends = df.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
+    lo, hi = (ends["lo"] or "").encode(), (ends["hi"] or "").encode()
+    same = next((i for i, (x, y) in enumerate(zip(lo, hi)) if x != y), min(len(lo), len(hi)))
+    code = F.hex(F.substring(F.encode(F.col(key), "utf-8"), same + 1, _CODE_BYTES))
+    padded = F.rpad(code, 2 * _CODE_BYTES, "0")
+    return F.conv(padded, 16, 10).cast("bigint")
+
+
 def head_n(df: DataFrame, n: int, key: str) -> DataFrame:
-    """The first n rows by key."""
-    return top_n(df, [F.col(key).asc_nulls_last()], n)
+    """The first n rows by key, missing keys last, for any n.
+
+    A histogram of the keys tells the bin in which the n-th row lies; only rows up to it are
+    ordered, about n of them unless very many keys share that bin.
+    """
+    text = isinstance(df.schema[key].dataType, T.StringType)
+    place = _text_bin(df, key) if text else number_bin(F.col(key).cast("double"))
+    beyond = F.lit((1 << 62))
+    marked = df.withColumn("__bin", F.when(F.col(key).isNull(), beyond).otherwise(place))
+    upto = Window.orderBy("__bin").rowsBetween(Window.unboundedPreceding, 0)
+    if text:
+        # At most 4096 bins of texts: the leading half of their codes' range, cut evenly.
+        ends = marked.where(F.col("__bin") < beyond).agg(
+            F.min("__bin").alias("lo"), F.max("__bin").alias("hi")).first()
+        lo, width = ends["lo"] or 0, max(1, ((ends["hi"] or 0) - (ends["lo"] or 0)) // 4095 + 1)
+        marked = marked.withColumn("__bin", F.when(F.col("__bin") == beyond, beyond).otherwise(
+            F.floor((F.col("__bin") - lo) / width)))
+    histogram = marked.groupBy("__bin").agg(F.count(F.lit(1)).alias("rows"))
+    running = histogram.select("__bin", (F.sum("rows").over(upto) - F.col("rows")).alias("before"))
+    last = running.where(F.col("before") < n).agg(F.max("__bin")).scalar()
+    return marked.where(F.col("__bin") <= last).orderBy(F.col(key).asc_nulls_last()).limit(
+        n).drop("__bin")
 
 
 def digest(key: str, seed: str = "") -> Column:

@@ -20,7 +20,7 @@ _OFFSET = 1100 * _PER_OCTAVE  # above any exponent of a double
 _PARTS = 4096
 
 
-def _bin(x: Column) -> Column:
+def number_bin(x: Column) -> Column:
     """An integer that never decreases as ``x`` grows, with constant relative width.
 
     It is never NULL, which keeps the join on it from adding a filter below the counts:
@@ -38,7 +38,7 @@ def exact_quantiles(df: DataFrame, column: str | Column,
     counts = (df.select(source.cast("double").alias("x"))
               .where(F.col("x").isNotNull() & ~F.isnan("x"))
               .groupBy("x").agg(F.count(F.lit(1)).alias("n")))
-    binned = counts.select("x", "n", _bin(F.col("x")).alias("bin"))
+    binned = counts.select("x", "n", number_bin(F.col("x")).alias("bin"))
 
     upto = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     histogram = binned.groupBy("bin").agg(

@@ -46,13 +46,21 @@ def test_lookup_takes_the_first_ids(spark):
     assert lookup.lookup(df, ["t3"]).count() == 1
 
 
-def test_top_n_beyond_short_reports(spark):
+def test_head_n_orders_few_more_than_n_rows(spark):
     df = spark.range(20_000).repartition(13).select(
-        F.format_string("%05d", "id").alias("key"), (F.col("id") * 7919 % 977).alias("v"))
-    order = [F.desc("v"), F.asc("key")]
-    plain = df.orderBy(*order).limit(3000)
-    assert ordering.top_n(df, order, 3000).collect() == plain.collect()
-    assert ordering.head_n(df, 1500, "key").count() == 1500
+        F.format_string("tt%07d", "id").alias("key"), (F.col("id") * 7919 % 977).alias("v"))
+    df = df.union(spark.range(2).select(F.lit(None).cast("string"), "id"))
+    for key in ("key", "v"):
+        plain = df.orderBy(F.col(key).asc_nulls_last())
+        for n in (0, 1, 1500, 20_001, 30_000):
+            got = [r[key] for r in ordering.head_n(df, n, key).collect()]
+            assert got == [r[key] for r in plain.limit(n).collect()]
+    head = ordering.head_n(df, 5000, "key")
+    plan = head._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce" not in plan
+    before = head._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter" in before
+    assert ordering.head_n(df.limit(0), 5, "key").count() == 0
 
 
 @pytest.mark.parametrize("n", [0, 1, 700, 5000, 9999, 10_000, 20_000])
@@ -107,11 +115,13 @@ def test_interaction_count(spark):
     assert powers.asDict() == {"c2": 2, "c3": 3, "c2*c2": 4, "c2*c3": 6, "c3*c3": 9}
 
 
-def test_one_hot_refuses_wide_columns(spark):
-    df = spark.range(encoding.MAX_CATEGORIES + 1)
-    with pytest.raises(ValueError):
-        encoding.one_hot(df, "id", "p")
-    assert encoding.one_hot(df, "id", "p", values=[1, 2]).columns == ["id", "p_1", "p_2"]
+def test_encoding_a_column_of_many_values(spark):
+    df = spark.range(5000).select("id", F.concat(F.lit("v"), "id").alias("v"))
+    assert encoding.one_hot(df, "v", "p", values=["v1", "v2"]).columns == ["id", "v", "p_v1", "p_v2"]
+    names = encoding.categories(df, "v")
+    assert len(names) == 5000 and names == sorted(names)
+    vector = encoding.one_hot_vector(df, "v", "vec").transform(df)
+    assert {r["vec"].size for r in vector.select("vec").collect()} >= {5001}
 
 
 def test_sparse_vector_encoding(spark):
