@@ -6,12 +6,12 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from checks.registry import AS_OF_YEAR, RUN_TS, query, view
-from checks.features import _sql_size
+from checks.registry import AS_OF_YEAR, RUN_TS, query, rounded, view
+from checks.features import _sql_kept, _sql_size
 from cinestrata.functions import tables
 from cinestrata.operators.ordering import bucket
 from cinestrata.plans.layers import RunConfig, run_table, run_tables
-from cinestrata.schema import TABLES
+from cinestrata.schema import BATCH_COLUMN, TABLES
 from cinestrata.session import workspace
 from cinestrata.sources import readers
 from cinestrata.streaming import incremental
@@ -61,25 +61,85 @@ def route_file_type(spark, sf):
             .groupBy("file_type").agg(F.count(F.lit(1)).alias("n")))
 
 
+_CREW = f"""
+select tconst, directors, writers, d as num_directors, w as num_writers,
+       case when directors is null then 0 else 1 end as has_director,
+       case when writers is null then 0 else 1 end as has_writer, d + w as total_crew_size,
+       case when d + w = 0 then 'no_crew' when d + w <= 2 then 'small_crew'
+            when d + w <= 5 then 'medium_crew' else 'large_crew' end as crew_category
+from (select *, {_sql_size('directors')} as d, {_sql_size('writers')} as w from t_crew) x"""
+
+
 @query("incremental_medallion", f"""
-select tconst, directors, writers, {_sql_size('directors')} as num_directors,
-       {_sql_size('writers')} as num_writers,
-       {_sql_size('directors')} + {_sql_size('writers')} as total_crew_size,
-       2025 as ingestion_year, 9 as ingestion_month, 28 as ingestion_day
-from t_crew""")
+with crew as ({_CREW})
+select 'crew' as source, tconst, directors, writers, num_directors, num_writers, has_director,
+       has_writer, total_crew_size, crew_category, null::double as averageRating,
+       null::int as numVotes, null::double as log_votes, null::double as rating_normalized,
+       null as rating_category, null::int as is_popular,
+       2025 as ingestion_year, 9 as ingestion_month, 28 as ingestion_day from crew
+union all
+select 'ratings', tconst, null, null, null, null, null, null, null, null, averageRating, numVotes,
+       round(log_votes, 6), round(rating_normalized, 6), rating_category, is_popular, 2025, 9, 28
+from r_ratings""")
 def incremental_medallion(spark, sf):
+    """A batch run of a part of both tables, then three batches of the rest in the same layers."""
     root = workspace(spark, "stream")
     cfg = RunConfig(root, RUN_TS, AS_OF_YEAR)
-    crew = view(spark, sf, "t_crew")
-    # Files of another table arrive in the same folder and must be left alone.
+    frames = {name: view(spark, sf, f"t_{name}") for name in ("crew", "ratings")}
+    for i in range(4):
+        for name, rows in frames.items():
+            _arrive(rows.where(bucket("tconst", 4) == i), name, f"{root}/raw", f"day{i}")
+    for name in frames:
+        run_table(spark, name, cfg, f"{root}/raw/day0/{TABLES[name].file_name}")
+    for i in (1, 2, 3):
+        for name in frames:
+            incremental.incremental_medallion(
+                spark, f"{root}/raw", name, cfg, f"{root}/checkpoint-{name}",
+                layout=f"day[123]/{TABLES[name].file_name}")
+    parts = [readers.read_layer(spark, cfg.path("refined", name)).drop(
+        "ingestion_timestamp", BATCH_COLUMN).withColumn("source", F.lit(name)) for name in frames]
+    return rounded(parts[0].unionByName(parts[1], allowMissingColumns=True))
+
+
+@query("catalog_after_run", """
+select tconst, averageRating, numVotes, rating_category, is_popular, 28 as ingestion_day
+from r_ratings""")
+def catalog_after_run(spark, sf):
+    root = workspace(spark, "layers")
+    cfg = RunConfig(root, RUN_TS, AS_OF_YEAR, database="cinestrata_" + root[-12:])
     _arrive(view(spark, sf, "t_ratings"), "ratings", f"{root}/raw", "day1")
-    for i in range(2):
-        _arrive(crew.where(bucket("tconst", 2) == i), "crew", f"{root}/raw", f"day{i + 1}")
-        incremental.incremental_medallion(
-            spark, f"{root}/raw", "crew", cfg, f"{root}/checkpoint")
-    return readers.read_layer(spark, cfg.path("refined", "crew")).select(
-        "tconst", "directors", "writers", "num_directors", "num_writers", "total_crew_size",
-        "ingestion_year", "ingestion_month", "ingestion_day")
+    run_table(spark, "ratings", cfg, f"{root}/raw/day1/{TABLES['ratings'].file_name}")
+    return spark.table(f"{cfg.database}.ratings_refined").select(
+        "tconst", "averageRating", "numVotes", "rating_category", "is_popular", "ingestion_day")
+
+
+@query("layer_run_extended", f"""
+with g as (
+  select tconst, titleType, startYear, runtimeMinutes, genres from c_basics),
+crew as (select tconst, directors, writers from t_crew)
+select 'basics' as source, tconst, coalesce(2024 - startYear, 0) as a,
+       case when runtimeMinutes is null then 0 else 1 end as b,
+       cast(case when genres is null or genres = '' then 0
+                 else length(genres) - length(replace(genres, ',', '')) + 1 end as int) as c,
+       case when coalesce(titleType, '') = 'movie' then 1 else 0 end as d,
+       case when contains(coalesce(genres, ''), 'Drama') then 1 else 0 end as e from g
+union all
+select 'crew', tconst, {_sql_kept('directors')}, {_sql_kept('writers')}, 0, 0, 0 from crew""")
+def layer_run_extended(spark, sf):
+    """Titles and crew in the second variant of their features."""
+    root = workspace(spark, "layers")
+    cfg = RunConfig(root, RUN_TS, AS_OF_YEAR, feature_variant="extended")
+    picked = {"basics": ("film_age", "has_runtime", "genre_count", "type_movie", "genre_drama"),
+              "crew": ("director_count", "writer_count")}
+    parts = []
+    for name, columns in picked.items():
+        _arrive(view(spark, sf, f"t_{name}"), name, f"{root}/raw", "day1")
+        run_table(spark, name, cfg, f"{root}/raw/day1/{TABLES[name].file_name}")
+        refined = readers.read_layer(spark, cfg.path("refined", name))
+        values = [F.col(c).cast("int") for c in columns] + [F.lit(0)] * (5 - len(columns))
+        parts.append(refined.select(F.lit(name).alias("source"), "tconst", *[
+            v.alias(n) for v, n in zip(values, "abcde")]))
+    return parts[0].unionByName(parts[1])
 
 
 @query("force_refresh", """

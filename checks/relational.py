@@ -13,12 +13,12 @@ from cinestrata.operators.quantiles import exact_quantiles
 from cinestrata.plans import assembly, people, reports
 
 
-@query("athena_top_movies", """
+@query("top_movies", """
 select b.tconst, b.primaryTitle, r.averageRating, r.numVotes, b.startYear
 from c_ratings r join c_basics b on r.tconst = b.tconst
 where b.titleType = 'movie' and r.numVotes >= 5000 and r.averageRating >= 8.5
 order by r.numVotes desc, b.tconst limit 10""")
-def athena_top_movies(spark, sf):
+def top_movies_report(spark, sf):
     # The test tables never reach the default of 50,000 votes.
     return reports.top_movies(trusted(spark, sf, "ratings"), trusted(spark, sf, "basics"),
                               min_votes=5000)

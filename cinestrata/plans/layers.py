@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -10,10 +11,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cinestrata.functions import tables
 from cinestrata.functions.tables import with_features
+from cinestrata.operators.aggregates import top_names
 from cinestrata.operators.cleaning import CLEANERS, clean_generic
 from cinestrata.operators.quantiles import quantile
-from cinestrata.schema import NULL_TOKEN, PARTITION_COLUMNS, table
-from cinestrata.sources.catalog import register_table
+from cinestrata.schema import (
+    BATCH_COLUMN, BATCH_RUN, NULL_TOKEN, PARTITION_COLUMNS, table)
+from cinestrata.sources.catalog import add_columns, add_partitions, register_table
 from cinestrata.sources.readers import read_layer, read_raw_tsv
 from cinestrata.sources.sinks import add_ingestion_metadata, balanced, write_layer
 
@@ -28,6 +31,12 @@ class RunConfig:
     database: str | None = None
     popular_share: float = 0.8
     vote_threshold: float | None = None  # a known threshold spares the quantile's scan
+    rebalance: bool = True  # one shuffle, for RAW in few unsplittable files
+    feature_variant: str = "standard"  # or "extended": the second variant of the features
+
+    def __post_init__(self) -> None:
+        if self.feature_variant not in ("standard", "extended"):
+            raise ValueError(f"unknown feature variant {self.feature_variant!r}")
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
@@ -41,25 +50,29 @@ def of_run(df: DataFrame, run_ts: str) -> DataFrame:
 
 
 def run_exists(spark: SparkSession, path: str, run_ts: str) -> bool:
-    """Whether the layer already holds rows of the run's date."""
+    """Whether the layer already holds rows of a batch run of the date."""
     try:
         layer = read_layer(spark, path)
     except AnalysisException as err:
         if err.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return False
         raise
-    return bool(of_run(layer, run_ts).head(1))
+    return bool(of_run(layer, run_ts).where(F.col(BATCH_COLUMN) == BATCH_RUN).head(1))
 
 
-def refine(trusted: DataFrame, name: str, cfg: RunConfig,
-           votes_from: DataFrame | None = None) -> DataFrame:
-    """The table's features; the popularity threshold comes from ``votes_from`` if given."""
+def refine(trusted: DataFrame, name: str, cfg: RunConfig) -> DataFrame:
+    """The table's features in the run's variant; thresholds and genres are those of the given rows."""
+    extended = cfg.feature_variant == "extended"
     if name == "ratings":
         threshold = cfg.vote_threshold
         if threshold is None:
-            source = trusted if votes_from is None else votes_from
-            threshold = quantile(source, "numVotes", cfg.popular_share)
-        return with_features(trusted, tables.ratings(threshold))
+            threshold = quantile(trusted, "numVotes", cfg.popular_share)
+        return with_features(trusted, tables.ratings(threshold, extended))
+    genres = top_names(trusted, "genres", 10, as_list=True) if extended and name == "basics" \
+        else []
+    second = tables.extended(name, cfg.as_of_year, genres) if extended else None
+    if second is not None:
+        return with_features(trusted, second)
     if name in tables.FEATURES:
         return with_features(trusted, tables.FEATURES[name](cfg.as_of_year))
     plain = [c for c in trusted.columns if not c.startswith("ingestion_")]
@@ -79,15 +92,40 @@ def run_table(spark: SparkSession, name: str, cfg: RunConfig, raw_path: str,
     spec = table(name)
     raw = read_raw_tsv(spark, raw_path, spec.raw_schema, null_token=NULL_TOKEN)
     clean = CLEANERS.get(name, clean_generic)(raw)
-    write_layer(add_ingestion_metadata(balanced(clean), cfg.run_ts), trusted_path)
-    trusted = of_run(read_layer(spark, trusted_path), cfg.run_ts)
+    rows = balanced(clean) if cfg.rebalance else clean
+    write_layer(add_ingestion_metadata(rows, cfg.run_ts), trusted_path, batch=BATCH_RUN)
+    refine_date(spark, name, cfg, cfg.run_ts, [BATCH_RUN])
+    return True
+
+
+def refine_date(spark: SparkSession, name: str, cfg: RunConfig, run_ts: str,
+                batches: Sequence[str]) -> None:
+    """REFINED of the named batches of a run date, from the TRUSTED files, and the catalog tables.
+
+    The popularity of ratings and the genres of the extended titles depend on all rows of the
+    date, so these are refined anew for all its batches: the result is that of one run over the
+    same rows, in whatever order they came. Other features are per row.
+    """
+    trusted_path, refined_path = cfg.path("trusted", name), cfg.path("refined", name)
+    try:
+        trusted = of_run(read_layer(spark, trusted_path), run_ts)
+    except AnalysisException as err:
+        if err.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return    # no batch had a clean row
+        raise
+    extended = cfg.feature_variant == "extended"
+    if name != "ratings" and not (extended and name == "basics"):
+        trusted = trusted.where(F.col(BATCH_COLUMN).isin(*batches))
     refined = refine(trusted, name, cfg)
     write_layer(refined, refined_path)
     if cfg.database:
+        keys = (*PARTITION_COLUMNS, BATCH_COLUMN)
+        written = [tuple(r) for r in trusted.select(*keys).distinct().collect()]
         for layer, df, path in (("trusted", trusted, trusted_path),
                                 ("refined", refined, refined_path)):
-            register_table(spark, cfg.database, f"{name}_{layer}", df.schema, path)
-    return True
+            full = register_table(spark, cfg.database, f"{name}_{layer}", df.schema, path, keys)
+            add_columns(spark, full, df.schema)
+            add_partitions(spark, full, keys, written)
 
 
 def run_tables(spark: SparkSession, cfg: RunConfig, raw_paths: dict[str, str],

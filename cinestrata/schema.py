@@ -10,6 +10,9 @@ NULL_TOKEN = "\\N"
 
 RUN_COLUMNS = ("ingestion_timestamp", "ingestion_year", "ingestion_month", "ingestion_day")
 PARTITION_COLUMNS = ("ingestion_year", "ingestion_month", "ingestion_day")
+# Below the run date, layers are partitioned by what wrote the rows: a batch run or a stream's batch.
+BATCH_COLUMN = "ingestion_batch"
+BATCH_RUN = "run"
 
 
 @dataclass(frozen=True)
@@ -91,10 +94,10 @@ def table(name: str) -> TableSpec:
 # The scoring request's record layout.
 SCORING_REQUEST = T.StructType([
     T.StructField("movies", T.ArrayType(T.StructType([
-        T.StructField("numVotes", T.IntegerType()),
-        T.StructField("log_votes", T.DoubleType()),
-        T.StructField("rating_normalized", T.DoubleType()),
+        T.StructField("numVotes", T.StringType()),
+        T.StructField("log_votes", T.StringType()),
+        T.StructField("rating_normalized", T.StringType()),
         T.StructField("rating_category", T.StringType()),
-        T.StructField("is_popular", T.IntegerType()),
+        T.StructField("is_popular", T.StringType()),
     ]))),
 ])

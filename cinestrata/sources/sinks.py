@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from cinestrata.schema import PARTITION_COLUMNS
+from cinestrata.schema import BATCH_COLUMN, PARTITION_COLUMNS
 
 
 def add_ingestion_metadata(df: DataFrame, run_ts: str, with_date: bool = False) -> DataFrame:
@@ -21,14 +21,22 @@ def balanced(df: DataFrame) -> DataFrame:
     return df.hint("rebalance")
 
 
-def write_layer(df: DataFrame, path: str, layout: str = "ingestion") -> None:
+def write_layer(df: DataFrame, path: str, layout: str = "ingestion",
+                batch: str | None = None) -> None:
     """Write a layer partitioned by run date, replacing only the dates it holds.
 
+    With ``batch``, or a column of that name, rows go below their date to a partition of the
+    batch, and only those partitions are replaced.
+
     ``layout='ymd'`` uses zero-padded ``year=/month=/day=`` folders instead of the
     ingestion columns. The write itself shuffles nothing: rows from an unsplittable
     compressed file should pass :func:`balanced` before their metadata is added.
     """
     keys = list(PARTITION_COLUMNS)
+    if batch is not None:
+        df = df.withColumn(BATCH_COLUMN, F.lit(batch))
+    if BATCH_COLUMN in df.columns:
+        keys.append(BATCH_COLUMN)
     if layout == "ymd":
         names = ("year", "month", "day")
         widths = (4, 2, 2)

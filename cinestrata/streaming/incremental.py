@@ -6,15 +6,20 @@ it stopped. ``availableNow`` processes what has arrived and ends.
 
 from __future__ import annotations
 
+from concurrent.futures import Future
+from threading import Event
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from cinestrata.operators.cleaning import CLEANERS
-from cinestrata.plans.layers import RunConfig, of_run, refine
-from cinestrata.schema import NULL_TOKEN, PARTITION_COLUMNS, TABLES, table
-from cinestrata.sources.readers import read_layer
-from cinestrata.sources.sinks import add_ingestion_metadata, balanced
+from cinestrata.plans.layers import RunConfig, refine_date
+from cinestrata.schema import BATCH_COLUMN, NULL_TOKEN, TABLES, table
+from cinestrata.sources.sinks import add_ingestion_metadata, balanced, write_layer
 
-BATCH_COLUMN = "ingestion_batch"
+__all__ = ["BATCH_COLUMN", "file_type", "incremental_medallion", "ingest_incremental",
+           "read_arrivals"]
 
 
 def file_type(path: Column) -> Column:
@@ -24,54 +29,127 @@ def file_type(path: Column) -> Column:
 
 
 def read_arrivals(spark: SparkSession, raw_dir: str, name: str,
-                  files_per_batch: int | None = None) -> DataFrame:
-    """A stream of the raw rows of one table; other tables' files in the folder are left out."""
+                  files_per_batch: int | None = None, layout: str | None = None) -> DataFrame:
+    """A stream of the raw rows of one table; other tables' files in the folder are left out.
+
+    ``layout`` is a glob of this table's files below ``raw_dir``, such as
+    ``*/title.ratings.tsv.gz``. With it other tables' files are neither listed nor counted as
+    files of a batch; without it the whole folder is searched. A header that differs from the
+    table's columns is an error.
+    """
     spec = table(name)
     reader = (spark.readStream.schema(spec.raw_schema).option("header", True)
-              .option("sep", "\t").option("quote", "").option("nullValue", NULL_TOKEN)
-              .option("recursiveFileLookup", True))
+              .option("enforceSchema", False)
+              .option("sep", "\t").option("quote", "").option("nullValue", NULL_TOKEN))
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.csv(raw_dir).where(file_type(F.col("_metadata.file_path")) == name)
+    if layout is None:
+        reader = reader.option("recursiveFileLookup", True)
+    rows = reader.csv(raw_dir if layout is None else f"{raw_dir}/{layout}")
+    return rows.where(file_type(F.col("_metadata.file_path")) == name)
 
 
-def ingest_incremental(spark: SparkSession, raw_dir: str, name: str, out: str,
-                       checkpoint: str, files_per_batch: int | None = None) -> int:
-    """Append the cleaned rows of new files to ``out``; the number of rows read this time."""
-    rows = CLEANERS[name](read_arrivals(spark, raw_dir, name, files_per_batch))
-    query = (rows.writeStream.format("parquet").option("path", out)
-             .option("checkpointLocation", checkpoint)
-             .outputMode("append").trigger(availableNow=True).start())
-    query.awaitTermination()
-    return sum(p.numInputRows for p in query.recentProgress)
+class _RowCounter(StreamingQueryListener):
+    """Adds up an observed count over all batches of a run, however many there are."""
 
+    def __init__(self) -> None:
+        self.rows: dict[str, int] = {}
+        self.ended: dict[str, Event] = {}
 
-def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    (df.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("bigint"))
-     .write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*PARTITION_COLUMNS, BATCH_COLUMN).parquet(path))
+    def of(self, run: str) -> Event:
+        return self.ended.setdefault(run, Event())
 
+    def onQueryStarted(self, event) -> None:
+        pass
 
-def incremental_medallion(spark: SparkSession, raw_dir: str, name: str, cfg: RunConfig,
-                          checkpoint: str, files_per_batch: int | None = None) -> None:
-    """TRUSTED and REFINED from new files, batch by batch.
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        seen = event.progress.observedMetrics.get("arrived")
+        if seen is not None:
+            run = str(event.progress.runId)
+            self.rows[run] = self.rows.get(run, 0) + seen["rows"]
 
-    Each batch is a partition below the run's date: writing it again after a failure
-    replaces only itself, and a later batch of the same date replaces nothing.
+    def onQueryTerminated(self, event) -> None:
+        self.of(str(event.runId)).set()
+
+
+def ingest_incremental(spark: SparkSession, raw_dir: str, name: str, out: str,
+                       checkpoint: str, files_per_batch: int | None = None,
+                       layout: str | None = None) -> int:
+    """Append the cleaned rows of new files to ``out``; the number of rows read this time."""
+    arrived = read_arrivals(spark, raw_dir, name, files_per_batch, layout).observe(
+        "arrived", F.count(F.lit(1)).alias("rows"))
+    counter = _RowCounter()
+    spark.streams.addListener(counter)
+    try:
+        query = (CLEANERS[name](arrived).writeStream.format("parquet").option("path", out)
+                 .option("checkpointLocation", checkpoint)
+                 .outputMode("append").trigger(availableNow=True).start())
+        query.awaitTermination()
+        run = str(query.runId)
+        # Events come in order: after the last one all counts are in.
+        if not counter.of(run).wait(300):
+            raise TimeoutError("the end of the query was not reported")
+        return counter.rows.get(run, 0)
+    finally:
+        spark.streams.removeListener(counter)
+
+
+def _records(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as err:
+        if err.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def incremental_medallion(spark: SparkSession, raw_dir: str, name: str, cfg: RunConfig,
+                          checkpoint: str, files_per_batch: int | None = None,
+                          layout: str | None = None) -> None:
+    """TRUSTED from new files batch by batch, then REFINED of the dates that got some.
+
+    Layers have the layout of batch runs: below the run date, each batch is a partition named
+    by the stream's id and its number. A batch that is tried again, on a later day too, keeps
+    the date noted when it was first seen and replaces only itself. A new checkpoint is a new
+    stream with names of its own. REFINED follows after the last batch; batches left behind by
+    a failure are caught up on by the next call.
     """
-    trusted_path, refined_path = cfg.path("trusted", name), cfg.path("refined", name)
+    notes = f"{cfg.root}/_batches/{name}"
+    stream: Future[str] = Future()
+
+    def noted(label: str) -> str:
+        """The run's timestamp of a batch, noted before its first row is written."""
+        found = _records(spark, f"{notes}/seen", "label string, run_ts string").where(
+            F.col("label") == label).first()
+        if found is None:
+            (spark.createDataFrame([(label, cfg.run_ts)], "label string, run_ts string")
+             .coalesce(1).write.mode("append").parquet(f"{notes}/seen"))
+            return cfg.run_ts
+        return found["run_ts"]
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        clean = CLEANERS[name](batch)
-        if clean.isEmpty():
-            return
-        _write_batch(add_ingestion_metadata(balanced(clean), cfg.run_ts), trusted_path, batch_id)
-        layer = read_layer(spark, trusted_path)
-        mine = of_run(layer, cfg.run_ts).where(F.col(BATCH_COLUMN) == batch_id)
-        _write_batch(refine(mine, name, cfg, votes_from=layer), refined_path, batch_id)
-
-    query = (read_arrivals(spark, raw_dir, name, files_per_batch).writeStream
+        label = f"{stream.result()}-{batch_id}"
+        rows = CLEANERS[name](batch)
+        if cfg.rebalance:
+            rows = balanced(rows)
+        write_layer(add_ingestion_metadata(rows, noted(label)), cfg.path("trusted", name),
+                    batch=label)
+
+    query = (read_arrivals(spark, raw_dir, name, files_per_batch, layout).writeStream
              .foreachBatch(run).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
+    stream.set_result(str(query.id))
     query.awaitTermination()
+
+    seen = _records(spark, f"{notes}/seen", "label string, run_ts string")
+    done = _records(spark, f"{notes}/done", "label string")
+    open_: dict[str, list[str]] = {}
+    for r in seen.join(done, "label", "left_anti").distinct().orderBy("label").collect():
+        open_.setdefault(r["run_ts"], []).append(r["label"])
+    for run_ts, labels in sorted(open_.items()):
+        refine_date(spark, name, cfg, run_ts, labels)
+        (spark.createDataFrame([(x,) for x in labels], "label string").coalesce(1)
+         .write.mode("append").parquet(f"{notes}/done"))
