@@ -180,6 +180,47 @@ def gbt_fit_careful(spark, sf):
     return _test_metrics(models.fit_gbt_careful(train, names), test)
 
 
+def _stump_oracle(trees: int) -> str:
+    """A tree of one split on the decade, by all splits; the second tree fits what is left."""
+    steps, total, rate = [], "0.0", "1.0"
+    for i in range(trees):
+        y = f"2 * (y - ({total}))" if i else "y"
+        source = "t" if i == 0 else f"(select * from t, s{i - 1})"
+        if i == 2:
+            raise ValueError("written for two trees")
+        steps.append(f"""
+g{i} as (select x, count(*) as n, sum({y}) as s from {source} t group by x),
+c{i} as (select x, sum(n) over (order by x) as nl, sum(s) over (order by x) as sl,
+               sum(n) over () as n, sum(s) over () as s from g{i}),
+s{i} as (select x as cut{i}, sl / nl as left{i}, (s - sl) / (n - nl) as right{i} from c{i}
+       where nl < n order by sl * sl / nl + (s - sl) * (s - sl) / (n - nl) desc, x limit 1)""")
+        total += f" + {rate} * case when x <= cut{i} then left{i} else right{i} end"
+        rate = "0.1"
+    return (f"with d as (select tconst, bucket, floor(startYear / 10) * 10 as x, "
+            f"averageRating as y from bucketed), t as (select * from d where bucket >= 33),"
+            f"{','.join(steps)} select tconst, round({total}, 6) as prediction "
+            f"from d{''.join(f', s{i}' for i in range(trees))} where bucket < 33")
+
+
+def _stump_parts(spark, sf):
+    rows = model_set(spark, sf).select("tconst", LABEL, modelset.decade().alias("decade"))
+    return ordering.split(materialised(rows, "decades"), "tconst", 33)
+
+
+@query("rf_stump", _stump_oracle(1))
+def rf_stump(spark, sf):
+    train, test = _stump_parts(spark, sf)
+    model = models.fit_forest(train, ["decade"], trees=1, max_depth=1, bootstrap=False)
+    return rounded(model.transform(test).select("tconst", "prediction"))
+
+
+@query("gbt_stumps", _stump_oracle(2))
+def gbt_stumps(spark, sf):
+    train, test = _stump_parts(spark, sf)
+    model = models.fit_gbt(train, ["decade"], trees=2, depth=1, subsample=1.0)
+    return rounded(model.transform(test).select("tconst", "prediction"))
+
+
 @query("feature_importance")
 def feature_importance(spark, sf):
     train, _, names = _matrix(spark, sf)
@@ -289,6 +330,24 @@ def kfold_scores_linear(spark, sf):
         movies, lambda part: models.fit_linear(part, ["runtimeMinutes"]), 3))
 
 
+@query("kfold_scores_ensemble", """
+with f as (select averageRating as y, runtimeMinutes as x,
+             cast(('0x' || substr(md5(tconst), 1, 8)) as bigint) % 3 as fold from model_set),
+m as (select k.fold, regr_slope(f.y, f.x) as a, regr_intercept(f.y, f.x) as b, avg(f.y) as c
+      from f join (select distinct fold from f) k on f.fold <> k.fold group by k.fold),
+s as (select 1 - avg(pow(f.y - (3 * (a * f.x + b) + c) / 4, 2)) / var_pop(f.y) as r2
+      from f join m on f.fold = m.fold group by f.fold)
+select count(r2) as folds, round(avg(r2), 6) as mean_r2, round(stddev_pop(r2), 6) as std_r2,
+       round(min(r2), 6) as min_r2, round(max(r2), 6) as max_r2 from s""")
+def kfold_scores_ensemble(spark, sf):
+    """A weighted ensemble of a regression and the mean, fitted anew in each fold."""
+    def fit(part):
+        return models.combined([models.fit_linear(part, ["runtimeMinutes"]),
+                                models.fit_mean(part)], [3, 1])
+
+    return rounded(models.kfold(model_set(spark, sf), fit, 3))
+
+
 @query("kfold_scores_v1")
 def kfold_scores_v1(spark, sf):
     train, _, names = _matrix(spark, sf, version=1)
@@ -537,14 +596,38 @@ def score_batch(spark, sf):
     return scoring.score(refined.withColumn("numVotes", votes), model, 0.41, _BATCH_FEATURES)
 
 
-@query("score_requests", """
-select tconst, averageRating as predicted_rating, round(log_votes, 6) as log_votes, is_popular
-from r_ratings""")
+@query("score_requests", f"""
+with t as (select *, numVotes % 97 = 0 as bad,
+             cast(('0x' || substr(md5(tconst), 1, 8)) as bigint) % 100 as bucket from r_ratings),
+m as (select regr_slope(averageRating, log_votes) as a, regr_intercept(averageRating, log_votes)
+        as b from t where bucket >= 33),
+p as (select t.*, a * log_votes + b as p from t, m),
+o as (select *, p >= 7 and is_popular = 0 as ok from p)
+select tconst, case when not bad then round(p, 2) end as predicted_rating,
+  case when not bad then round(least(0.25 * case when p between 4 and 8 then 1.1 else 0.9 end,
+    0.95)::double, 3) end as confidence,
+  case when not bad then case when p <= 4 then 'poor' when p <= 6 then 'fair' when p <= 7
+    then 'good' when p <= 8 then 'very_good' else 'excellent' end end as rating_category,
+  case when not bad then case when ok then round(p / log_votes * 100, 2) else 0 end end
+    as opportunity_score,
+  case when not bad then case when not ok then 'LOW' when p / log_votes * 100 > 1.5 then 'HIGH'
+    else 'MEDIUM' end end as opportunity_level,
+  case when not bad then case when ok then '{scoring.REASON_YES}' else '{scoring.REASON_NO}' end
+    end as opportunity_reason,
+  case when bad then 'not a number: log_votes' end as error, bad as has_record,
+  '2025-09-28 12:00:00' as model_timestamp
+from o""")
 def score_requests(spark, sf):
-    refined = refined_ratings(spark, sf).withColumn("rating_normalized", F.col(LABEL))
-    movie = F.struct("numVotes", "log_votes", "rating_normalized", "rating_category", "is_popular")
+    """JSON requests, some of them broken, scored by a fitted, saved and loaded regression."""
+    refined = materialised(refined_ratings(spark, sf), "refined")
+    train, _ = ordering.split(refined, "tconst", 33)
+    path = workspace(spark, "model")
+    models.save_model(spark, models.fit_linear(train, ["log_votes"]), path, {
+        "features": ["log_votes"], "metrics": {"r2_cv": 0.25}, "timestamp": "2025-09-28 12:00:00"})
+    votes = F.when(F.col("numVotes") % 97 == 0, "n/a").otherwise(F.col("log_votes").cast("string"))
+    movie = F.struct("numVotes", votes.alias("log_votes"), "rating_normalized", "rating_category",
+                     "is_popular")
     as_json = refined.select(
         "tconst", F.to_json(F.struct(F.array(movie).alias("movies"))).alias("body"))
-    return rounded(scoring.requests(as_json, "body").select(
-        "tconst", F.col("rating_normalized").alias("predicted_rating"), "log_votes",
-        "is_popular"))
+    scored = scoring.score_saved(scoring.requests(as_json, "body"), path)
+    return scored.withColumn("has_record", F.col("record").isNotNull()).drop("record")

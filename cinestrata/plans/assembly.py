@@ -20,6 +20,7 @@ from cinestrata.operators.encoding import categories, decade_dummies, genre_dumm
 from cinestrata.operators.lookup import with_group_count, with_group_stat
 from cinestrata.operators.scaling import minmax
 from cinestrata.schema import RUN_COLUMNS
+from cinestrata.session import materialised
 
 KEY = "tconst"
 LABEL = "averageRating"
@@ -77,6 +78,9 @@ def assemble_v2(df: DataFrame, as_of_year: int = 2024, genres: int = 15, decades
 
     ``use_votes=False`` leaves out what is known only after release.
     """
+    # Vocabularies, statistics and the matrix read the rows several times.
+    df = materialised(df, "assembly")
+    fit_on = None if fit_on is None else materialised(fit_on, "assembly-fit")
     source = df if fit_on is None else fit_on
     genre_names = top_names(source, "genres", genres, as_list=True)
     eras = categories(source.select(modelset.cinema_era().alias("era")), "era")

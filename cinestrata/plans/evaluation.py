@@ -18,10 +18,10 @@ def _residual(y: str, p: str) -> Column:
 
 
 def metrics(df: DataFrame, y: str, p: str) -> DataFrame:
-    """One row: rows, R², MSE, RMSE, MAE."""
+    """One row: rows, R², MSE, RMSE, MAE, all over the rows with both values."""
     e = _residual(y, p)
     mse = F.avg(e * e)
-    return df.agg(
+    return df.where(F.col(y).isNotNull() & F.col(p).isNotNull()).agg(
         F.count(e).alias("n"),
         (F.lit(1.0) - F.try_divide(mse, F.var_pop(y))).alias("r2"),
         mse.alias("mse"), F.sqrt(mse).alias("rmse"), F.avg(F.abs(e)).alias("mae"))

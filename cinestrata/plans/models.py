@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -21,9 +22,11 @@ from cinestrata.operators.ordering import bucket
 from cinestrata.operators.scaling import product_sql, product_terms
 from cinestrata.plans.assembly import LABEL
 from cinestrata.plans.evaluation import metrics
-from cinestrata.session import ensure_checkpoint_dir
+from cinestrata.session import checkpointed, ensure_checkpoint_dir, materialised
 
 PREDICTION = "prediction"
+# Least share of the training rows in a leaf: bounds the trees by 1 / share leaves at any size.
+LEAF_SHARE = 1e-6
 
 
 class Predictor(Protocol):
@@ -70,11 +73,17 @@ def fit_lasso(train: DataFrame, features: Sequence[str], label: str = LABEL,
 
 def fit_forest(train: DataFrame, features: Sequence[str], label: str = LABEL,
                trees: int = 100, max_depth: int = 30, min_leaf: int = 1, max_bins: int = 64,
-               seed: int = 42) -> PipelineModel:
-    """Random forest over all features per split; 30 is the deepest tree Spark grows."""
+               seed: int = 42, bootstrap: bool = True) -> PipelineModel:
+    """Random forest over all features per split; 30 is the deepest tree Spark grows.
+
+    A leaf has ``min_leaf`` rows or ``LEAF_SHARE`` of all, whichever is more, so the model
+    does not grow with the data.
+    """
+    least = max(min_leaf, math.ceil(train.count() * LEAF_SHARE))
     return _fit(train, features, RandomForestRegressor(
-        labelCol=label, numTrees=trees, maxDepth=max_depth, minInstancesPerNode=min_leaf,
-        featureSubsetStrategy="all", maxBins=max_bins, maxMemoryInMB=1024, seed=seed))
+        labelCol=label, numTrees=trees, maxDepth=max_depth, minInstancesPerNode=least,
+        featureSubsetStrategy="all", maxBins=max_bins, maxMemoryInMB=1024, seed=seed,
+        bootstrap=bootstrap))
 
 
 def fit_forest_regularised(train: DataFrame, features: Sequence[str],
@@ -106,49 +115,55 @@ class PolynomialModel:
     columns: tuple[str, ...]
     degree: int
     interactions_only: bool
-    model: PipelineModel
+    keep: tuple[str, ...]
+    model: Predictor
 
     def transform(self, df: DataFrame) -> DataFrame:
         return self.model.transform(
-            with_products(df, self.columns, self.degree, self.interactions_only))
+            with_products(df, self.columns, self.degree, self.interactions_only, self.keep))
 
 
 def with_products(df: DataFrame, columns: Sequence[str], degree: int,
-                  interactions_only: bool = False, out: str = "products") -> DataFrame:
-    """Add one vector with all products of up to ``degree`` columns."""
+                  interactions_only: bool = False, keep: Sequence[str] = (),
+                  out: str = "products") -> DataFrame:
+    """Add one vector with all products of up to ``degree`` columns, and the kept columns behind."""
     terms = product_terms(columns, degree, interactions_only)
-    return df.withColumn(out, array_to_vector(
-        F.expr(f"array({', '.join(product_sql(t) for t in terms)})")))
+    values = [product_sql(t) for t in terms] + [f"cast(`{c}` as double)" for c in keep]
+    return df.withColumn(out, array_to_vector(F.expr(f"array({', '.join(values)})")))
 
 
 def fit_poly(train: DataFrame, columns: Sequence[str], label: str = LABEL, degree: int = 3,
              interactions_only: bool = False,
-             base: Callable[[DataFrame, list[str], str], PipelineModel] = fit_linear,
-             ) -> PolynomialModel:
-    """Fit ``base`` on the products of the columns."""
-    expanded = with_products(train, columns, degree, interactions_only)
-    return PolynomialModel(tuple(columns), degree, interactions_only,
+             base: Callable[[DataFrame, list[str], str], Predictor] = fit_linear,
+             keep: Sequence[str] = ()) -> PolynomialModel:
+    """Fit ``base`` on the products of the columns beside the untouched columns of ``keep``."""
+    expanded = with_products(train, columns, degree, interactions_only, keep)
+    return PolynomialModel(tuple(columns), degree, interactions_only, tuple(keep),
                            base(expanded, ["products"], label))
 
 
 @dataclass(frozen=True)
 class GroupMeanModel:
-    """Predicts the training mean of the row's group; an unseen group gets the overall mean."""
+    """Predicts the training mean of the row's group; an unseen group gets the overall mean.
+
+    Both are computed when the model is fitted: the means lie in the shared folder.
+    """
 
     stats: DataFrame
     key: str
-    overall: Column
+    overall: float | None
 
     def transform(self, df: DataFrame) -> DataFrame:
         scored = attach_stats(df, self.stats, self.key)
-        return (scored.withColumn(PREDICTION, F.coalesce("__group_mean", self.overall))
+        overall = F.lit(self.overall).cast("double")
+        return (scored.withColumn(PREDICTION, F.coalesce("__group_mean", overall))
                 .drop("__group_mean"))
 
 
 def fit_group_mean(train: DataFrame, key: str, label: str = LABEL) -> GroupMeanModel:
     stats = (train.where(F.col(key).isNotNull()).groupBy(key)
              .agg(F.avg(label).alias("__group_mean")))
-    return GroupMeanModel(stats, key, train.agg(F.avg(label)).scalar())
+    return GroupMeanModel(checkpointed(stats), key, train.agg(F.avg(label)).first()[0])
 
 
 @dataclass(frozen=True)
@@ -165,19 +180,38 @@ def fit_mean(train: DataFrame, label: str = LABEL) -> MeanModel:
     return MeanModel(train.agg(F.avg(label)).scalar())
 
 
+@dataclass(frozen=True)
+class EnsembleModel:
+    """Predicts the (weighted) mean of its models' predictions, one transform after the other."""
+
+    models: tuple[Predictor, ...]
+    weights: tuple[float, ...]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        original, parts = df.columns, []
+        for i, model in enumerate(self.models):
+            name = f"__prediction_{i}"
+            parts.append(name)
+            scored = model.transform(df).withColumnRenamed(PREDICTION, name)
+            df = scored.select(*original, *parts)
+        total = reduce(lambda a, b: a + b, [
+            F.col(p) * w for p, w in zip(parts, self.weights)])
+        return df.select(*original, (total / sum(self.weights)).alias(PREDICTION))
+
+
+def combined(models: Sequence[Predictor],
+             weights: Sequence[float] | None = None) -> EnsembleModel:
+    """A predictor of the models' mean, to be folded, compared and scored like any other."""
+    given = [1.0] * len(models) if weights is None else [float(w) for w in weights]
+    if len(given) != len(models):
+        raise ValueError(f"{len(given)} weights for {len(models)} models")
+    return EnsembleModel(tuple(models), tuple(given))
+
+
 def ensemble(df: DataFrame, models: Sequence[Predictor],
              weights: Sequence[float] | None = None) -> DataFrame:
-    """The (weighted) mean of the models' predictions, one transform after the other."""
-    weights = [1.0] * len(models) if weights is None else list(weights)
-    original = df.columns
-    parts = []
-    for i, model in enumerate(models):
-        name = f"__prediction_{i}"
-        parts.append(name)
-        scored = model.transform(df).withColumnRenamed(PREDICTION, name)
-        df = scored.select(*original, *parts)
-    total = reduce(lambda a, b: a + b, [F.col(p) * w for p, w in zip(parts, weights)])
-    return df.select(*original, (total / sum(weights)).alias(PREDICTION))
+    """``df`` with the (weighted) mean of the models' predictions."""
+    return combined(models, weights).transform(df)
 
 
 def _rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
@@ -207,12 +241,22 @@ def importance(spark: SparkSession, model: PipelineModel, k: int = 10) -> DataFr
 
 
 def save_model(spark: SparkSession, model: PipelineModel, path: str, info: dict) -> None:
-    """Write the model and a one-row metadata table beside it."""
+    """Write the model and a one-row metadata table beside it.
+
+    ``info`` must name the model's ``features`` and its cross-validated R² (``r2_cv``, on its
+    own or among ``metrics``), without which it cannot score; a ``timestamp`` is kept.
+    """
+    if not info.get("features") or cross_validated(info) is None:
+        raise ValueError("info needs features and r2_cv")
     model.write().overwrite().save(f"{path}/model")
     _rows(spark, [(json.dumps(info, sort_keys=True),)], "info string").write.mode(
         "overwrite").parquet(f"{path}/info")
 
 
+def cross_validated(info: dict) -> float | None:
+    return info.get("r2_cv", info.get("metrics", {}).get("r2_cv"))
+
+
 def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, dict]:
     info = json.loads(spark.read.parquet(f"{path}/info").first()["info"])
     return PipelineModel.load(f"{path}/model"), info
@@ -220,9 +264,12 @@ def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, dict]:
 
 def kfold_by_fold(df: DataFrame, fit: Callable[[DataFrame], Predictor], k: int, key: str,
                   label: str = LABEL) -> DataFrame:
-    """R² per fold; the fold of a row is the bucket of its key."""
-    fold = bucket(key, k)
-    parts = []
+    """R² per fold; the fold of a row is the bucket of its key.
+
+    Rows and folds are written once: what made the frame is not repeated for each fold.
+    """
+    df = materialised(df.withColumn("__fold", bucket(key, k)), "folds")
+    fold, parts = F.col("__fold"), []
     for i in range(k):
         model = fit(df.where(fold != i))
         scored = model.transform(df.where(fold == i))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cinestrata.functions.lists import items
 from cinestrata.operators.lookup import attach_stats
+from cinestrata.session import materialised
 
 
 def director_fame(crew: DataFrame, ratings: DataFrame) -> DataFrame:
@@ -38,10 +39,12 @@ def with_director_fame(movies: DataFrame, crew: DataFrame, ratings: DataFrame) -
 def star_power(principals: DataFrame, ratings: DataFrame, k: int = 3) -> DataFrame:
     """Per title: mean, greatest and least average rating of its first k billed people.
 
-    Repeated credits are counted before anything is shuffled for a join.
+    Repeated credits are counted before anything is shuffled for a join, and written once, since
+    they are read again to be given their people's figures.
     """
-    credits = (principals.where(F.col("ordering") <= k)
-               .groupBy("tconst", "nconst").agg(F.count(F.lit(1)).alias("credits")))
+    credits = materialised(
+        principals.where(F.col("ordering") <= k)
+        .groupBy("tconst", "nconst").agg(F.count(F.lit(1)).alias("credits")), "credits")
     rated = credits.join(ratings.where(F.col("averageRating").isNotNull())
                          .select("tconst", "averageRating"), "tconst")
     weighted = F.sum(F.col("credits") * F.col("averageRating"))

@@ -10,6 +10,7 @@ from cinestrata.functions.lists import first_item
 from cinestrata.functions.tables import RATING_CATEGORY
 from cinestrata.operators.aggregates import frequencies
 from cinestrata.operators.ordering import top_n
+from cinestrata.plans.models import cross_validated, load_model
 from cinestrata.schema import SCORING_REQUEST
 
 # Texts of the opportunity verdicts.
@@ -36,7 +37,10 @@ def opportunity(prediction: Column, log_votes: Column, is_popular: Column) -> Co
 
 
 def requests(df: DataFrame, column: str) -> DataFrame:
-    """One row per movie of JSON scoring requests, with the other columns kept."""
+    """One row per movie of JSON scoring requests, with the other columns kept.
+
+    Numbers stay as they were written, so that scoring can tell a bad one from a missing one.
+    """
     others = [c for c in df.columns if c != column]
     parsed = df.select(*others, F.from_json(column, SCORING_REQUEST).alias("request"))
     return parsed.select(*others, F.inline("request.movies"))
@@ -80,6 +84,21 @@ def score(df: DataFrame, model, r2_cv: float, features: Sequence[str],
     return scored.select(*keep, *[F.when(good, c).alias(n) for n, c in results.items()], "error")
 
 
+def score_saved(df: DataFrame, path: str, keep: Sequence[str] = ("tconst",)) -> DataFrame:
+    """:func:`score` by a saved model: features, R² and timestamp come from what lies beside it.
+
+    Adds ``model_timestamp`` and, where a row has an error, the row itself as JSON (``record``).
+    """
+    model, info = load_model(df.sparkSession, path)
+    record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
+    rows = df.withColumn("__record", record)
+    scored = score(rows, model, cross_validated(info), info["features"], [*keep, "__record"])
+    return scored.select(
+        *[c for c in scored.columns if c != "__record"],
+        F.when(F.col("error").isNotNull(), F.col("__record")).alias("record"),
+        F.lit(info.get("timestamp")).cast("string").alias("model_timestamp"))
+
+
 def _undervalued(scored: DataFrame, min_gap: float, max_rating: float,
                  min_votes: int) -> DataFrame:
     gap = F.col("predicted_rating") - F.col("actual_rating")

@@ -57,9 +57,9 @@ def test_learners_beat_the_mean(spark, data, fit):
 def test_importance_and_roundtrip(spark, data, root):
     model = models.fit_forest(data, ["a", "b"], trees=5, max_depth=5)
     assert models.importance(spark, model, 1).first()["feature"] == "a"
-    models.save_model(spark, model, root, {"features": ["a", "b"]})
+    models.save_model(spark, model, root, {"features": ["a", "b"], "r2_cv": 0.4})
     loaded, info = models.load_model(spark, root)
-    assert info == {"features": ["a", "b"]} and r2(loaded, data) == r2(model, data)
+    assert info == {"features": ["a", "b"], "r2_cv": 0.4} and r2(loaded, data) == r2(model, data)
 
 
 def test_unseen_group_gets_the_overall_mean(spark, data):
@@ -104,11 +104,11 @@ def test_verdicts(spark):
 
 
 def test_sample_request(spark):
-    body = ('{"movies": [{"numVotes": 1000, "log_votes": 6.9, "rating_normalized": 0.7, '
+    body = ('{"movies": [{"numVotes": 52, "log_votes": 3.5, "rating_normalized": 0.25, '
             '"rating_category": "good", "is_popular": 0}]}')
     df = spark.createDataFrame([("r1", body)], "id string, body string")
     row = scoring.requests(df, "body").first()
-    assert (row["id"], row["numVotes"], row["rating_category"]) == ("r1", 1000, "good")
+    assert (row["id"], row["numVotes"], row["rating_category"]) == ("r1", "52", "good")
 
     class Eight:
         def transform(self, frame):
@@ -117,7 +117,7 @@ def test_sample_request(spark):
     out = scoring.score(scoring.requests(df, "body"), Eight(), 0.41,
                         ["numVotes", "cat_good", "cat_poor", "pop_0"], keep=["id"]).first()
     assert out["confidence"] == 0.451 and out["rating_category"] == "very_good"
-    assert (out["opportunity_score"], out["opportunity_level"]) == (115.94, "HIGH")
+    assert (out["opportunity_score"], out["opportunity_level"]) == (228.57, "HIGH")
     assert out["error"] is None
 
 
@@ -144,3 +144,40 @@ def test_opportunity_without_votes(spark):
     got = [(r[0]["score"], r[0]["level"]) for r in df.select(
         scoring.opportunity(F.col("p"), F.col("v"), F.col("pop"))).collect()]
     assert got == [(None, None), (160.0, "HIGH"), (0.0, "LOW"), (0.0, "LOW")]
+
+
+def test_saved_models_need_what_scoring_needs(spark, data, root):
+    model = models.fit_linear(data, ["a"])
+    for info in ({"features": ["a"]}, {"r2_cv": 0.4}, {}):
+        with pytest.raises(ValueError):
+            models.save_model(spark, model, root, info)
+    models.save_model(spark, model, root, {"features": ["a"], "metrics": {"r2_cv": 0.4},
+                                           "timestamp": "2025-09-28"})
+    rows = spark.createDataFrame([("t1", "2"), ("t2", "two"), ("t3", None)], "tconst string, a string")
+    got = {r["tconst"]: r for r in scoring.score_saved(rows, root).collect()}
+    assert got["t1"]["error"] is None and got["t1"]["record"] is None
+    assert got["t2"]["predicted_rating"] is None and '"two"' in got["t2"]["record"]
+    assert got["t3"]["confidence"] is not None
+    assert {r["model_timestamp"] for r in got.values()} == {"2025-09-28"}
+
+
+def test_ensembles_are_predictors(spark, data):
+    def fit(train):
+        return models.combined([models.fit_linear(train, ["a", "b"]), models.fit_mean(train)], [3, 1])
+
+    keyed = data.withColumn("tconst", F.monotonically_increasing_id().cast("string"))
+    assert models.kfold(keyed, fit, 3).first()["folds"] == 3
+    with pytest.raises(ValueError):
+        models.combined([models.fit_mean(data)], [1, 2])
+
+
+def test_products_beside_untouched_columns(spark, data):
+    for base in (models.fit_linear, lambda d, f, y: models.fit_forest(d, f, y, trees=3, max_depth=4)):
+        model = models.fit_poly(data, ["a"], degree=3, base=base, keep=["b"])
+        assert r2(model, data) > 0.5
+
+
+def test_metrics_leave_out_rows_without_prediction(spark):
+    rows = [(1.0, 1.5), (2.0, 1.5), (3.0, 3.5), (90.0, None), (None, 4.0)]
+    got = evaluation.metrics(spark.createDataFrame(rows, "y double, p double"), "y", "p").first()
+    assert got["n"] == 3 and got["r2"] == pytest.approx(1 - 0.75 / 2)
