@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from checks.registry import AS_OF_YEAR, RUN_TS, query, rounded, view
+from checks.registry import AS_OF_YEAR, ORACLES, RUN_TS, query, rounded, view
 from checks.features import _sql_kept, _sql_size
 from cinestrata.functions import tables
 from cinestrata.operators.ordering import bucket
@@ -168,10 +168,42 @@ _LAYER_ROWS = {
 }
 
 
-@query("layer_run_all_tables", " union all ".join(
-    f"select '{t}' as \"table\", count(*) as rows from {source}"
-    for t, source in _LAYER_ROWS.items()))
+# SQL of each table's features by other queries, and the columns compared here; no doubles.
+_FEATURES = {
+    "ratings": ("select * from r_ratings", "tconst numVotes rating_category is_popular"),
+    "basics": (f"select f.* from ({ORACLES['basics_flags']}) f join c_basics using (tconst)",
+               "tconst title_length has_runtime has_end_year is_adult"),
+    "crew": (ORACLES["crew_features"], "tconst num_directors num_writers has_director has_writer "
+             "total_crew_size crew_category"),
+    "principals": (ORACLES["principals_features"],
+                   "tconst nconst ordering billing_position is_actor is_director is_producer "
+                   "has_character has_job is_main_cast role_category"),
+    "akas": (ORACLES["akas_features"], "titleId ordering title_length has_region has_language "
+             "is_original_title has_attributes title_priority"),
+    "episode": (ORACLES["episode_features"], "tconst has_season_number has_episode_number "
+                "season_category episode_category episode_position"),
+    "names": (ORACLES["names_features"],
+              "nconst is_alive has_birth_year approximate_age career_span name_length "
+              "num_professions num_known_titles is_actor is_director is_writer fame_category "
+              "generation"),
+}
+
+
+def _compared(name: str) -> list[str]:
+    """The key and the integer and text features of a table, in order."""
+    return _FEATURES[name][1].split()
+
+
+def _sql_digest(name: str) -> str:
+    values = ", ".join(f"coalesce(cast({c} as varchar), '~')" for c in _compared(name))
+    return (f"select '{name}' as \"table\", count(*) as rows, cast(sum(cast('0x' || substr(md5("
+            f"concat_ws('|', {values})), 1, 8) as bigint)) as bigint) as digest "
+            f"from ({_FEATURES[name][0]}) f")
+
+
+@query("layer_run_all_tables", " union all ".join(_sql_digest(t) for t in _FEATURES))
 def layer_run_all_tables(spark, sf):
+    """Rows of each refined table and a digest of all its keys and features."""
     root = workspace(spark, "layers")
     cfg = RunConfig(root, RUN_TS, AS_OF_YEAR)
     parts = []
@@ -181,7 +213,9 @@ def layer_run_all_tables(spark, sf):
     run_tables(spark, cfg, paths)
     for name in paths:
         refined = readers.read_layer(spark, cfg.path("refined", name))
-        wanted = tables.FEATURES[name](AS_OF_YEAR) if name in tables.FEATURES else tables.ratings(0)
-        parts.append(refined.select(*wanted).groupBy().agg(
-            F.lit(name).alias("table"), F.count(F.lit(1)).alias("rows")))
+        text = F.concat_ws("|", *[
+            F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in _compared(name)])
+        number = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+        parts.append(refined.agg(F.lit(name).alias("table"), F.count(F.lit(1)).alias("rows"),
+                                 F.sum(number).alias("digest")))
     return reduce(DataFrame.unionByName, parts)
