@@ -22,7 +22,7 @@ from cinestrata.session import materialised
 WEIGHTS = (5, 2, 1)
 MOST = 3             # how often the mix may use a source, and a document
 BLOCK = 64           # words of a block
-SHARD_WORDS = 1 << 22
+SHARD_WORDS = 1 << 18
 BROADCAST_BYTES = 8 << 20
 
 

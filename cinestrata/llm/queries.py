@@ -117,7 +117,7 @@ level as (
 claims as (
   select source, source_size, least(weight * level, cast(cap as double)) as target, rank,
     cast(floor(total / 64) as bigint) as seats,
-    greatest(1, cast(ceil(source_size / 4194304) as bigint)) as shards
+    greatest(1, cast(ceil(source_size / 262144) as bigint)) as shards
   from weighed, level),
 quotients as (
   select source, rank, seats, k, target / (2 * k + 1) as quotient
