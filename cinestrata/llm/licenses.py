@@ -3,7 +3,8 @@
 The words of a text are cut into overlapping windows of ``WINDOW`` shingles. Each band is one
 row: the least of the window's shingle hashes under the band's mask. A window and a template
 window with Jaccard similarity s agree in at least one of b such bands with probability
-1 - (1 - s)^b. Windows that agree retrieve the template; around them, the template's share of
+1 - (1 - s)^b. A template of up to ``SHORT`` shingles fills too little of a window for that and
+is retrieved by each of its shingles. Around the windows that retrieve a template, its share of
 shingles that stand within its own length in the text is counted exactly.
 """
 
@@ -19,6 +20,7 @@ SHINGLE = 3          # words
 WINDOW = 6           # shingles of a window
 STRIDE = 3           # shingles from one window to the next
 BANDS = 16
+SHORT = 2            # shingles of a template up to which each of them retrieves it
 CONTAINED = 0.8      # least share of a template's shingles
 
 # Public license notices as they stand in files and pages.
@@ -40,6 +42,7 @@ TEMPLATES = {
     "cc-by-sa-4.0": "Licensed under CC BY-SA 4.0.",
     "all-rights-reserved": "Copyright. All rights reserved. No part of this publication may be "
                            "reproduced",
+    "all-rights-reserved-alone": "All rights reserved.",
 }
 
 # What parts the words of a notice: all but letters, marks and numbers.
@@ -56,8 +59,11 @@ def worst_case(shingles: int) -> float:
 
     Every stretch of WINDOW - STRIDE + 1 shingles lies within one window. A shorter template
     fills a part of that window; a longer one fills a whole window if it has WINDOW + STRIDE - 1
-    shingles, else WINDOW - STRIDE + 1 of them at least.
+    shingles, else WINDOW - STRIDE + 1 of them at least. One of up to SHORT shingles is found by
+    any of them, since every shingle stands in a window.
     """
+    if shingles <= SHORT:
+        return 1.0
     held = min(shingles, WINDOW) if shingles >= WINDOW + STRIDE - 1 else min(
         shingles, WINDOW - STRIDE + 1)
     return agreement(held / (WINDOW + min(shingles, WINDOW) - held))
@@ -89,6 +95,16 @@ def _bands() -> list[Column]:
             for b in range(BANDS)]
 
 
+def _hashes() -> list[Column]:
+    """The shingle hashes of a window, null beyond the last shingle."""
+    return [F.col(f"__h{i}") for i in range(WINDOW)]
+
+
+def _marked(values: list[Column], bands: list[int]) -> Column:
+    return F.array(*[F.struct(F.lit(b).alias("band"), v.alias("value"))
+                     for b, v in zip(bands, values)])
+
+
 def _windows(rows: DataFrame, stride: int) -> DataFrame:
     """A row per window of the arrays ``words``: its first word ``at`` and its shingle hashes."""
     shingles = F.size("words") - (SHINGLE - 1)
@@ -123,8 +139,13 @@ def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES,
     """
     spark = docs.sparkSession
     known = template_table(spark, templates)
+    # The bands, and after them one more for the shingles of short templates.
+    by_band = _marked(_bands(), list(range(BANDS)))
+    by_shingle = _marked(_hashes(), [BANDS] * WINDOW)
     marks = _windows(known.withColumnRenamed("t_words", "words"), 1).select(
-        "license", F.posexplode(F.array(*_bands())).alias("band", "value")).distinct()
+        "license", F.explode(F.when(F.size("t_shingles") <= SHORT, F.concat(by_band, by_shingle))
+                             .otherwise(by_band)).alias("mark")).select(
+        "license", "mark.*").where("value is not null").distinct()
     # One list of values per band, as literals: as long as the templates, whatever the documents.
     listed: dict[int, set[int]] = {}
     for r in marks.collect():
@@ -132,6 +153,8 @@ def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES,
     met = F.lit(False)
     for band, value in enumerate(_bands()):
         met = met | value.isin(sorted(listed.get(band, ())))
+    for value in _hashes():
+        met = met | value.isin(sorted(listed.get(BANDS, ())))
     rows = narrowed(docs, doc_id="long", text="string").select(
         "doc_id", _words(F.col("text")).alias("words"))
     windows = _windows(rows, STRIDE)
@@ -143,7 +166,8 @@ def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES,
     near = kept.select(
         "doc_id", first.alias("first"),
         F.slice("words", first + 1, F.lit(2 * reach + WINDOW + STRIDE)).alias("near"),
-        F.posexplode(F.array(*_bands())).alias("band", "value"))
+        F.explode(F.concat(by_band, by_shingle)).alias("mark")).select(
+        "doc_id", "first", "near", "mark.*")
     found = near.join(F.broadcast(marks), ["band", "value"]).select(
         "doc_id", "license", "first", "near").distinct()
     joined = found.join(F.broadcast(known), "license")

@@ -32,6 +32,27 @@ def test_retrieval_is_near_certain():
     assert licenses.agreement(1.0) == 1.0
 
 
+def test_short_templates_are_retrieved_for_certain(spark):
+    for n in range(1, 40):
+        assert licenses.worst_case(n) > 0.9999
+    # Many different surroundings: a notice lost with a small probability would be seen.
+    short = {"one": "All rights reserved.", "two": "some rights are reserved", "three": "a b c d e"}
+    rows = [(1000 * k + i, " ".join(f"w{i}x{j}" for j in range(i % 7)) + "\n" + notice + "\n"
+             + " ".join(f"v{i}x{j}" for j in range(i % 11)))
+            for k, notice in enumerate(short.values()) for i in range(400)]
+    rows += [(5000, "all rights"), (5001, "some rights are kept"), (5002, "rights reserved all")]
+    got = found(spark, rows, short)
+    assert got == brute(rows, short)
+    assert {d for d, n, *_ in got if n != "three"} == {d for d, _ in rows if d < 2000 and d % 1000 < 400}
+
+
+def test_bare_notices_of_the_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    want = {r.doc_id for r in docs.collect() if "\nAll rights reserved." in (r.text or "")}
+    got = {r.doc_id for r in licenses.scan(docs).collect() if r.license == "all-rights-reserved-alone"}
+    assert want and got == want
+
+
 def test_notices_at_every_offset(spark):
     rows = []
     for k, (name, notice) in enumerate(licenses.TEMPLATES.items()):
