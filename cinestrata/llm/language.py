@@ -3,7 +3,8 @@
 A text becomes a vector of hashed letter trigrams, logarithmic counts weighed by inverse
 document frequency and normalised. Per language, spherical k-means over a bounded sample of
 labelled rows gives a few centroids. The language of the nearest centroid by cosine wins; a
-text much farther away than nearly all of the sample's texts of similar length is rejected.
+text much farther from all broad centroids than nearly all of the sample's texts of about as many
+different trigrams is rejected. For that, each part of the sample is measured by centroids of the other parts.
 """
 
 from __future__ import annotations
@@ -22,11 +23,13 @@ SAMPLE_ROWS = 4000       # labelled rows the model is fitted on, shared by the l
 LANGUAGES = 400          # at most so many languages, those with most rows
 CENTROIDS = 4
 ROUNDS = 12
-MARGIN = 0.35            # of the cosine that nearly all of the sample reaches at a length
+MARGIN = 0.7             # of the cosine that nearly all of the sample reaches at a size
 RARE = 0.01              # share of the sample below that cosine
+BROAD = 0.1              # least share of its language's texts for a centroid to admit others
+PARTS = 4                # of the sample, each measured by centroids of the others
 UNKNOWN = "und"
-SHORT_LEAST = 0.05       # the most that is asked of texts under 64 trigrams
-_LENGTHS = 24            # powers of two of a text's trigrams
+SHORT_LEAST = 0.05       # asked of texts under 64 different trigrams of a size that the sample lacks
+_LENGTHS = 24            # powers of two of a text's different trigrams
 _SHORT = 6
 
 
@@ -52,17 +55,24 @@ def counts(texts: list[str]) -> np.ndarray:
 
 
 def _length(number: np.ndarray) -> np.ndarray:
-    return np.minimum(np.log2(np.maximum(number, 1)).astype(int), _LENGTHS - 1)
+    """The power of two of each row's different trigrams: repeated ones say nothing new."""
+    different = np.maximum((number > 0).sum(axis=1), 1)
+    return np.minimum(np.log2(different).astype(int), _LENGTHS - 1)
 
 
 @dataclass
 class Model:
-    """Centroids with their languages, weights of the trigrams, least cosines by length."""
+    """Centroids with their languages, weights of the trigrams, least cosines by size.
+
+    A ``broad`` centroid has many of its language's texts. The others, of texts that hold a
+    second language or much junk, name languages but admit no text.
+    """
 
     languages: list[str]
     centroids: np.ndarray
     weights: np.ndarray
     least: np.ndarray
+    broad: np.ndarray
 
     def vectors(self, number: np.ndarray) -> np.ndarray:
         v = np.log1p(number).astype(np.float32) * self.weights
@@ -77,14 +87,16 @@ class Model:
         cosine = self.vectors(number) @ self.centroids.T
         best = cosine.argmax(axis=1)
         score = np.clip(cosine[np.arange(len(texts)), best], 0, 1).astype(float)
-        far = score < self.least[_length(total)]
+        far = cosine[:, self.broad].max(axis=1) < self.least[_length(number)]
         none = total == 0
         names = [UNKNOWN if n else self.languages[b] for n, b in zip(none, best)]
         return names, np.where(none, 0.0, score).tolist(), (far | none).tolist()
 
 
-def _clustered(vectors: np.ndarray) -> np.ndarray:
-    """Up to ``CENTROIDS`` unit centroids, started at texts of evenly spread likeness to the mean.
+def _clustered(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Up to ``CENTROIDS`` unit centroids, and which are broad.
+
+    They start at texts of evenly spread likeness to the mean.
 
     A centroid with under one in a hundred of the texts is an outlier's and is left out.
     """
@@ -97,7 +109,8 @@ def _clustered(vectors: np.ndarray) -> np.ndarray:
                             for k, c in enumerate(centres)])
         centres /= np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-12)
     members = np.bincount((vectors @ centres.T).argmax(axis=1), minlength=len(centres))
-    return centres[members > len(vectors) / 100]
+    kept = members > len(vectors) / 100
+    return centres[kept], (members >= min(BROAD * len(vectors), members.max()))[kept]
 
 
 def held_out(doc_id: Column) -> Column:
@@ -144,31 +157,44 @@ def fit(docs: DataFrame) -> Model:
     number = np.zeros((len(rows), SIZE), np.float32)
     for i, r in enumerate(rows):
         number[i, np.frombuffer(r["cells"], "<u2")] = np.frombuffer(r["numbers"], "<u4")
-    total = number.sum(axis=1)
-    weights = (np.log((1 + len(rows)) / (1 + (number > 0).sum(axis=0))) + 1).astype(np.float32)
-    model = Model([], np.zeros((0, SIZE), np.float32), weights, np.zeros(_LENGTHS))
+    return learned(np.array([r["lang"] for r in rows], dtype=object), number)
+
+
+def learned(langs: np.ndarray, number: np.ndarray) -> Model:
+    """The model of texts with these languages and trigram counts."""
+    weights = (np.log((1 + len(langs)) / (1 + (number > 0).sum(axis=0))) + 1).astype(np.float32)
+    model = Model([], np.zeros((0, SIZE), np.float32), weights, np.zeros(_LENGTHS),
+                  np.zeros(0, bool))
     vectors = model.vectors(number)
-    langs = np.array([r["lang"] for r in rows], dtype=object)
-    centres, names, cosine = [], [], np.ones(len(rows))
+    centres, names, broad, cosine = [], [], [], np.ones(len(langs))
     for lang in sorted(set(langs)):
         own = np.flatnonzero(langs == lang)
-        found = _clustered(vectors[own])
+        found, wide = _clustered(vectors[own])
         centres.append(found)
         names += [lang] * len(found)
-        cosine[own] = (vectors[own] @ found.T).max(axis=1)
+        broad.append(wide)
+        part = np.arange(len(own)) % PARTS
+        for p in range(PARTS):
+            here, others = own[part == p], own[part != p]
+            near, wide = _clustered(vectors[others]) if len(others) else (found, wide)
+            cosine[here] = (vectors[here] @ near[wide].T).max(axis=1)
     if not names:
         return model
-    least, length = np.ones(_LENGTHS), _length(total)
+    least, length = np.ones(_LENGTHS), _length(number)
     for b in range(_LENGTHS):
         near = cosine[np.abs(length - b) <= 1]
+        if 0 < len(near) < 1 / RARE:     # so few do not show what is rare among them
+            for low in range(b - 2, -1, -1):
+                near = cosine[(length >= low) & (length <= b + 1)]
+                if len(near) >= 1 / RARE:
+                    break
         least[b] = MARGIN * np.quantile(near, RARE) if len(near) else 1.0    # 1: nothing seen
-    # Cosines of few trigrams say little; lengths that the sample lacks go by the next shorter.
+    # Sizes that the sample lacks go by the next smaller; short ones must reach very little.
     for b in range(_LENGTHS):
-        if b < _SHORT:
-            least[b] = min(least[b], SHORT_LEAST)
-        elif least[b] == 1.0:
-            least[b] = least[b - 1]
-    return Model(names, np.concatenate(centres).astype(np.float32), weights, least)
+        if least[b] == 1.0:
+            least[b] = SHORT_LEAST if b < _SHORT else least[b - 1]
+    return Model(names, np.concatenate(centres).astype(np.float32), weights, least,
+                 np.concatenate(broad))
 
 
 def predicted(docs: DataFrame, model: Model) -> DataFrame:

@@ -53,6 +53,29 @@ def test_far_texts_are_rejected(model):
     assert len({(n, c.tobytes()) for n, c in zip(model.languages, model.centroids)}) >= 8
 
 
+@pytest.mark.parametrize("left, least", [("en", 0.85), ("fr", 0.95), ("de", 0.95), ("es", 0.95)])
+def test_a_language_left_out_is_rejected(spark, left, least):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang")
+    known = language.fit(docs.where(docs.lang != left))
+    held = docs.where(language.held_out(docs.doc_id) & docs.text.isNotNull()).collect()
+    far = dict(zip([r.doc_id for r in held], known.predict([r.text for r in held])[2]))
+    foreign = [far[r.doc_id] for r in held if r.lang == left]
+    own = [far[r.doc_id] for r in held if r.lang != left]
+    assert left not in known.languages and sum(foreign) >= least * len(foreign)
+    assert sum(own) <= 0.01 * len(own)
+
+
+def test_least_cosines_lie_between_known_and_foreign_texts(model, spark):
+    docs = [r for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect() if r.text]
+    number = language.counts([r.text for r in docs])
+    cosine = model.vectors(number) @ model.centroids[model.broad].T
+    names = np.array(model.languages)[model.broad]
+    large = (number > 0).sum(axis=1) >= 128
+    other = np.array([c[names != r.lang].max() for r, c in zip(docs, cosine)])
+    least = model.least[language._length(number)]
+    assert (other[large] < least[large]).mean() > 0.97
+
+
 def test_an_outlier_in_the_sample_gets_no_centroid(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang")
     odd = spark.createDataFrame([(10**6, "Съешь же ещё этих мягких булок " * 20, "en")], docs.schema)
