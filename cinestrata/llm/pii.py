@@ -2,10 +2,12 @@
 
 The patterns find well-formed addresses and numbers. The random field learns, from a small
 labelled table of words, how their shapes and those of their neighbours go with kinds of
-personal data, and adds spans that no pattern matches (a card with a wrong digit, a phone
-number with other separators). It is trained by gradient steps on the exact likelihood and
+personal data, and adds spans that no pattern matches: an address with a spaced or bracketed
+at sign, a phone number without plus sign, a card or IP address with other separators. The table
+has such forms beside the corpus's own sequences: hits of the patterns written in other ways.
+Numbers that the patterns refuse, as cards with a wrong digit, are its negatives. It is trained by gradient steps on the exact likelihood and
 decoded by Viterbi, both in numpy over many sequences at once. A sequence is a stretch of
-words around those with a digit or an at sign; words far from any such word carry nothing
+words around those with a digit or an at sign (also "at" in brackets); words far from any such word carry nothing
 that its features could see and are outside by definition.
 """
 
@@ -27,6 +29,7 @@ SAMPLE_ROWS = 1500       # documents whose sequences the field is trained on
 AROUND = 2               # words beside a word with a digit or @ that belong to its sequence
 LONGEST = 64             # words of a sequence; longer stretches are cut after so many
 ROUNDS = 120
+REWRITTEN = 480          # sequences with hits whose other forms are added, evenly by kind
 CERTAIN = 0.9            # share of decoded words of a shape that must be of the kind in training
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -35,7 +38,8 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_TRIGGER = re.compile(r"[0-9@]")
+_NUMBER = re.compile(r"[0-9]+d")
+_TRIGGER = re.compile(r"[0-9@]|[(\[](?:at|AT)[)\]]")
 
 Span = tuple[int, int, int]    # start, index of the kind, end
 
@@ -111,7 +115,8 @@ def features(word: str) -> list[str]:
     """What the field sees of a word: its shape, kind of ends, digits and signs."""
     digits = sum("0" <= c <= "9" for c in word)
     core = word.strip("!#$%&*.,;:?\"'|")
-    out = [f"shape={shape(core)}", f"digits={min(digits, 20)}", f"first={shape(word[:1])}",
+    form = shape(core)
+    out = [f"shape={form}", "signs=" + _NUMBER.sub("d", form), f"digits={min(digits, 20)}", f"first={shape(word[:1])}",
            f"last={shape(word[-1:])}"]
     out += [f"has={c}" for c in "@.+-()=:/\"" if c in core]
     if digits and not any(c.isalpha() for c in word):
@@ -152,6 +157,72 @@ def labels_of(words: list[tuple[int, int]], spans: list[Span]) -> list[int]:
     return out
 
 
+def _other_forms(kind: int, hit: str) -> list[str]:
+    """Ways to write a hit of a pattern that no pattern matches."""
+    digits = "".join(c for c in hit if "0" <= c <= "9")
+    if kind == 0:
+        name, host = hit.rsplit("@", 1)
+        plain = [re.sub("[0-9]+", "", part).strip(".") for part in (name, host)]
+        return [f"{a}{at}{b}" for at in (" @ ", "(at)", "[at]", " (at) ", " [at] ", "(@)", "[@]")
+                for a, b in ((name, host), plain)]
+    if kind == 1:
+        return [hit.replace(".", dot) for dot in ("[.]", "(.)", " . ")]
+    if kind == 2:
+        fours = [digits[i:i + 4] for i in range(0, len(digits), 4)]
+        return [gap.join(fours) for gap in (".", "/", "_", "  ", " - ")]
+    area, mid, last = digits[-10:-7], digits[-7:-4], digits[-4:]
+    return [f"({area}) {mid}-{last}", f"({area}) {mid} {last}", f"{area}-{mid}-{last}",
+            f"{area}.{mid}.{last}", f"00{digits[:-10]} {area} {mid} {last}"]
+
+
+def _decoys(digits: str) -> list[str]:
+    """Things with digits or an at sign that are no personal data."""
+    d = (digits + "2019104538761230")[:16]
+    return [f"{d[:4]}-{d[4:6]}-{d[6:8]}", f"{d[:2]}/{d[2:4]}/{d[4:8]}", f"{d[:2]}.{d[2:4]}.{d[4:8]}",
+            f"{d[:2]}:{d[2:4]}", f"{d[:2]}:{d[2:4]}:{d[4:6]}", f"{d[:3]},{d[3:6]}", f"{d[:3]}.{d[3:5]}",
+            f"{d[:4]} - {d[4:8]}", f"{d[:4]}-{d[4:8]}", f"{d[0]}.{d[1:3]}.{d[3]}", d[:7], d[:10], d[:12],
+            f"({d[:4]})", f"({d[:3]})", f"{d[:3]} {d[3:6]}", "@name", f"@name{d[:2]}", "(at)", f"@ {d[:2]}"]
+
+
+def rewritten(rows: list[tuple[list[str], list[int]]], most: int = REWRITTEN
+              ) -> list[tuple[list[str], list[int]]]:
+    """Sequences with other forms of their hits, at most about ``most`` of them, evenly by kind.
+
+    The words around a hit stay. Forms that a pattern still matches are left out. Each sequence
+    is followed by one with a decoy in place of the hit.
+    """
+    out, taken = [], [0] * len(KINDS)
+    for words, labels in sorted((list(w), list(y)) for w, y in rows if any(y)):
+        at = 0
+        while at < len(words):
+            last = at
+            if labels[at] == 0:
+                at += 1
+                continue
+            kind = (labels[at] - 1) // 2
+            while last + 1 < len(words) and labels[last + 1] == 2 + 2 * kind:
+                last += 1
+            before, whole, after = words[:at], " ".join(words[at:last + 1]), words[last + 1:]
+            before_labels, after_labels = labels[:at], labels[last + 1:]
+            at = last + 1
+            hits = [(a, b) for a, k, b in base_spans(whole) if k == kind]
+            if taken[kind] >= most // len(KINDS) or len(hits) != 1:
+                continue
+            a, b = hits[0]
+            # One sequence gives one form after another, so that every form has its share.
+            forms = _other_forms(kind, whole[a:b])
+            form = forms[taken[kind] % len(forms)]
+            decoys = _decoys(re.sub("[^0-9]", "", whole[a:b]))
+            decoy = decoys[sum(taken) % len(decoys)].split(" ")
+            taken[kind] += 1
+            out.append((before + decoy + after, before_labels + [0] * len(decoy) + after_labels))
+            new = _WORD.findall(whole[:a] + form + whole[b:])
+            if not base_spans(" ".join(new)):
+                out.append((before + new + after, before_labels + [1 + 2 * kind] + [
+                    2 + 2 * kind] * (len(new) - 1) + after_labels))
+    return out
+
+
 @dataclass
 class Field:
     """Weights of features and of label pairs; ``trusted`` kinds of each shape seen in training."""
@@ -194,9 +265,13 @@ class Field:
 def _seen(words: list[str]) -> list[list[str]]:
     """Features of each word with the shapes beside it."""
     shapes = [shape(w) for w in words]
-    return [features(w) + ["before=" + (shapes[i - 1] if i else "edge"),
-                           "after=" + (shapes[i + 1] if i + 1 < len(words) else "edge")]
-            for i, w in enumerate(words)]
+    out = []
+    for i, w in enumerate(words):
+        before = shapes[i - 1] if i else "edge"
+        after = shapes[i + 1] if i + 1 < len(words) else "edge"
+        out.append(features(w) + ["before=" + before, "after=" + after,
+                                  f"to={before} {shapes[i]}", f"from={shapes[i]} {after}"])
+    return out
 
 
 def trained(rows: list[tuple[list[str], list[int]]], rounds: int = ROUNDS,
@@ -270,7 +345,8 @@ def trained(rows: list[tuple[list[str], list[int]]], rounds: int = ROUNDS,
 def added_spans(texts: list[str], base: list[list[Span]], model: Field) -> list[list[Span]]:
     """Spans that the field finds beside those of the patterns, none overlapping one of them.
 
-    A span starts and ends at a letter, digit or plus sign of its words. Shapes that the field
+    A span starts at a letter, digit, plus sign or a bracket that closes within, and ends at a letter
+    or digit of its words. Shapes that the field
     got wrong in training too often are left out.
     """
     found: list[list[Span]] = [[] for _ in texts]
@@ -291,10 +367,11 @@ def added_spans(texts: list[str], base: list[list[Span]], model: Field) -> list[
             start, end = spots[at][0], spots[last][1]
             at = last + 1
             text = texts[i]
-            while start < end and not (text[start].isalnum() or text[start] == "+"):
-                start += 1
             while start < end and not text[end - 1].isalnum():
                 end -= 1
+            while start < end and not (text[start].isalnum() or text[start] == "+" or (
+                    text[start] == "(" and ")" in text[start:end])):
+                start += 1
             whole = text[start:end]
             if sure and start < end and _TRIGGER.search(whole) and not any(
                     a < end and start < b for a, _, b in base[i]):
@@ -327,7 +404,8 @@ def fit(labelled: DataFrame, rows: int = SAMPLE_ROWS) -> Field:
     total = labelled.count()
     place = F.pmod(F.xxhash64("words"), F.lit(1 << 30)) / float(1 << 30)
     kept = labelled if total <= rows else labelled.where(place < rows / total)
-    return trained([(r["words"], r["labels"]) for r in kept.collect()])
+    own = [(r["words"], r["labels"]) for r in kept.collect()]
+    return trained(own + rewritten(own))
 
 
 def sampled(docs: DataFrame, documents: int = 20_000) -> DataFrame:

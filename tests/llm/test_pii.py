@@ -85,6 +85,38 @@ def test_field_adds_what_the_patterns_miss(field):
     assert all(text[s:e].strip() == text[s:e] for s, _, e in more)
 
 
+@pytest.fixture(scope="module")
+def corpus_field(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    return pii.fit(pii.labelled_sequences(docs))
+
+
+def found_by(field, whole):
+    text = f"erhe ouro stnt {whole} anen the rere."
+    base = pii.base_spans(text)
+    return base, [(k, text[a:b]) for a, k, b in pii.added_spans([text], [base], field)[0]]
+
+
+def test_recall_on_forms_that_the_patterns_miss(corpus_field):
+    planted = [(0, "jane.roe7@post4.example.org"), (0, "jane.roe7 @ post4.example.org"),
+               (0, "jane(at)post.example.org"), (0, "jane [at] post.example.org"),
+               (0, "jane.roe (at) example.org"), (1, "81[.]20[.]133[.]7"), (1, "81 . 20 . 133 . 7"),
+               (2, "4111.1111.1111.1111"), (2, "4111/1111/1111/1111"), (2, "4111  1111  1111  1111"),
+               (3, "(743) 555-3824"), (3, "743-555-3824"), (3, "743.555.3824"), (3, "001 743 555 3824")]
+    got = [found_by(corpus_field, whole) for _, whole in planted]
+    assert [k for _, k, _ in got[0][0]] == [0]
+    assert all(not base for base, _ in got[1:])
+    hits = sum(found == [want] for want, (_, found) in zip(planted[1:], got[1:]))
+    assert hits >= 0.9 * (len(planted) - 1), got
+
+
+def test_decoys_are_not_added(corpus_field):
+    decoys = ["2019-10-12", "12:45", "in 1999", "1,250", "3.14", "1914 - 1918", "@someone", "(at) home",
+              "4994226020900899", "version 2.13.4", "page 250 of 310", "0123456789"]
+    got = [found_by(corpus_field, d) for d in decoys]
+    assert sum(bool(found) for _, found in got) <= 1, got
+
+
 def test_query_equals_brute_force(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
     rows = op1_pii(spark, SMALL).collect()
