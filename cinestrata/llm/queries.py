@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cinestrata.llm import bpe, digest, language, licenses, mixing, pii, quality, repeats, simhash, warc
+from cinestrata.llm import (
+    bpe, digest, infill, interactions, language, licenses, lines, mixing, pii, quality, repeats,
+    simhash, warc)
 from cinestrata.llm.common import narrowed, table
 from cinestrata.session import materialised, workspace
 
@@ -75,6 +77,27 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.without_repeats(table(spark, sf_dir, "documents"))
 
 
+def op11_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without lines that several documents hold."""
+    docs = narrowed(table(spark, sf_dir, "documents"), doc_id="long", text="string")
+    return lines.without_repeated_lines(docs).select(
+        "row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove in each of their orders, by language."""
+    return interactions.audited(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document rearranged for infilling, and restored."""
+    docs = narrowed(table(spark, sf_dir, "documents"), doc_id="long", text="string")
+    back = infill.restored(F.col("output"), F.col("form"))
+    return infill.rearranged(docs).select(
+        "row.doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_mixing": op2_mixing,
@@ -86,6 +109,9 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_warc": op9_warc,
     "op10_repeats": op10_repeats,
+    "op11_lines": op11_lines,
+    "op12_interactions": op12_interactions,
+    "op13_infill": op13_infill,
 }
 
 ORACLES = {
@@ -215,4 +241,90 @@ select page_id, cast(strlen(payload) as bigint) as payload_bytes,
   case when page_id = first then 'response' else 'revisit' end as record_type,
   case when page_id = first then null else first end as refers_to
 from quints""",
+    "op11_lines": r"""
+with lines as (
+  select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+    unnest(range(0, len(string_split(coalesce(text, ''), chr(10))))) as pos from documents),
+keyed as (
+  select *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from lines),
+repeated as (
+  select key, max(doc_id) as last from keyed where length(key) >= 20
+  group by key having count(distinct doc_id) >= 3),
+marked as (
+  select k.*, r.last is not null and k.doc_id <> r.last as dropped
+  from keyed k left join repeated r using (key))
+select doc_id, count(*) as n_lines, count(*) filter (dropped) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not dropped), '')) as kept_sha256
+from marked group by doc_id""",
+    "op12_interactions": r"""
+with texts as (
+  select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')
+      as w from documents),
+firsts as (select text, min(doc_id) as least from texts group by text),
+failed as (
+  select doc_id, part, case when len(w) < 100 then 'A' else '' end
+    || case when 100 * len(list_distinct(w)) < 80 * len(w) then 'B' else '' end
+    || case when 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text)
+         then 'C' else '' end
+    || case when regexp_matches(text, '[#$%&*|]') then 'D' else '' end
+    || case when least < doc_id then 'E' else '' end as fails
+  from texts join firsts using (text)),
+marks as (select doc_id, max(quality) = 1 as good, max(toxic) = 1 as toxic from labels group by 1),
+cells as (
+  select part, fails, count(*) as n, count(*) filter (good) as good,
+    count(*) filter (toxic) as toxic
+  from failed left join marks using (doc_id) group by all),
+letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as f),
+orders as (
+  select a.f || b.f || c.f || d.f || e.f as filter_order
+  from letters a, letters b, letters c, letters d, letters e
+  where a.f not in (b.f, c.f, d.f, e.f) and b.f not in (c.f, d.f, e.f)
+    and c.f not in (d.f, e.f) and d.f <> e.f),
+steps as (
+  select filter_order, cast(k as int) as step, filter_order[k] as f,
+    substr(filter_order, 1, k - 1) as before, substr(filter_order, 1, k) as upto
+  from orders, range(1, 6) as t(k)),
+counted as (
+  select part, filter_order, step, f,
+    sum(case when translate(fails, upto, '') = fails then n else 0 end) as kept,
+    sum(case when contains(fails, f) and translate(fails, before, '') = fails then n else 0 end)
+      as removed,
+    sum(case when contains(fails, f) and translate(fails, before, '') <> fails then n else 0 end)
+      as redundant,
+    sum(case when fails = f then n else 0 end) as unique_fails,
+    sum(case when contains(fails, f) and translate(fails, before, '') = fails then good else 0 end)
+      as good_lost,
+    sum(case when contains(fails, f) and translate(fails, before, '') = fails then toxic else 0 end)
+      as toxic_lost
+  from cells, steps group by all)
+select part, filter_order, step, cast(kept as bigint) as kept, cast(removed as bigint) as removed,
+  cast(redundant as bigint) as redundant, cast(unique_fails as bigint) as unique_fails,
+  cast(good_lost as bigint) as good_lost, cast(toxic_lost as bigint) as toxic_lost,
+  cast(sum(removed) over (partition by part, f) as bigint) as shapley
+from counted""",
+    "op13_infill": r"""
+with units as (
+  select doc_id, coalesce(text, '') as text, sha256('1:' || doc_id) as h,
+    regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as u from documents),
+numbers as (
+  select *, len(u) as n, cast('0x' || substr(h, 1, 8) as bigint) % (len(u) + 1) as a,
+    cast('0x' || substr(h, 9, 8) as bigint) % (len(u) + 1) as b,
+    cast('0x' || substr(h, 17, 8) as bigint) % 100 as c,
+    cast('0x' || substr(h, 25, 8) as bigint) % 100 as d from units),
+parts as (
+  select doc_id, n, text, case when text = '' or contains(text, '<P>') or contains(text, '<S>')
+      or contains(text, '<M>') or c >= 90 then 'plain' when d < 20 then 'spm' else 'psm' end as form,
+    array_to_string(u[1:least(a, b)], '') as prefix,
+    array_to_string(u[least(a, b) + 1:greatest(a, b)], '') as middle,
+    array_to_string(u[greatest(a, b) + 1:], '') as suffix
+  from numbers)
+select doc_id, n, form, case when form <> 'plain' then length(prefix) end as prefix_chars,
+  case when form <> 'plain' then length(middle) end as middle_chars,
+  sha256(case form when 'plain' then text
+    when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+  sha256(text) as restored_sha256
+from parts""",
 }
