@@ -2,6 +2,6 @@
 
 from checks.registry import ORACLES, QUERIES
 from checks import (  # noqa: F401  (register their queries)
-    features, incremental, ingest, models, prep, relational)
+    arrivals, features, incremental, ingest, linear, models, prep, relational, trees)
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -57,11 +57,6 @@ def is_popular(spark, sf):
     return refined_ratings(spark, sf).select("tconst", "numVotes", "is_popular")
 
 
-@query("approx_vote_threshold")
-def approx_vote_threshold(spark, sf):
-    return approx_quantile(trusted(spark, sf, "ratings"), "numVotes", 0.8)
-
-
 # --- basics ---------------------------------------------------------------------------
 
 @query("basics_flags", """

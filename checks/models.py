@@ -1,6 +1,6 @@
 """Models, evaluation and scoring.
 
-Predictors with a closed form are compared with SQL; tree models are run and counted.
+Linear models of whole matrices and larger trees are in their own modules.
 """
 
 from __future__ import annotations
@@ -136,50 +136,6 @@ def _test_metrics(model, test):
     return evaluation.metrics(model.transform(test), LABEL, "prediction")
 
 
-@query("linreg_fit_v1")
-def linreg_fit_v1(spark, sf):
-    train, test, names = _matrix(spark, sf, version=1)
-    return _test_metrics(models.fit_linear(train, names), test)
-
-
-@query("linreg_fit_v2")
-def linreg_fit_v2(spark, sf):
-    train, test, names = _matrix(spark, sf)
-    return _test_metrics(models.fit_linear(train, names), test)
-
-
-@query("rf_fit")
-def rf_fit(spark, sf):
-    train, test, names = _matrix(spark, sf, version=1)
-    return _test_metrics(models.fit_forest(train, names), test)
-
-
-@query("rf_fit_v2")
-def rf_fit_v2(spark, sf):
-    train, test, names = _matrix(spark, sf)
-    return _test_metrics(models.fit_forest_regularised(train, names), test)
-
-
-@query("poly_fit")
-def poly_fit(spark, sf):
-    train, test, names = _matrix(spark, sf, version=1)
-    scaled = [scaling.standardize(train, part, names) for part in (train, test)]
-    model = models.fit_poly(scaled[0], names, degree=3, interactions_only=True)
-    return _test_metrics(model, scaled[1])
-
-
-@query("gbt_fit")
-def gbt_fit(spark, sf):
-    train, test, names = _matrix(spark, sf)
-    return _test_metrics(models.fit_gbt(train, names), test)
-
-
-@query("gbt_fit_careful")
-def gbt_fit_careful(spark, sf):
-    train, test, names = _matrix(spark, sf)
-    return _test_metrics(models.fit_gbt_careful(train, names), test)
-
-
 def _stump_oracle(trees: int) -> str:
     """A tree of one split on the decade, by all splits; the second tree fits what is left."""
     steps, total, rate = [], "0.0", "1.0"
@@ -221,12 +177,6 @@ def gbt_stumps(spark, sf):
     return rounded(model.transform(test).select("tconst", "prediction"))
 
 
-@query("feature_importance")
-def feature_importance(spark, sf):
-    train, _, names = _matrix(spark, sf)
-    return models.importance(spark, models.fit_forest_regularised(train, names), 10)
-
-
 @query("model_roundtrip", """
 select count(*) as rows, cast(0 as bigint) as changed, 39 as n_features
 from bucketed where bucket < 33""")
@@ -348,12 +298,6 @@ def kfold_scores_ensemble(spark, sf):
     return rounded(models.kfold(model_set(spark, sf), fit, 3))
 
 
-@query("kfold_scores_v1")
-def kfold_scores_v1(spark, sf):
-    train, _, names = _matrix(spark, sf, version=1)
-    return models.kfold(train, lambda part: models.fit_linear(part, names), 5)
-
-
 # --- evaluation -----------------------------------------------------------------------------
 
 @query("regression_metrics", f"""
@@ -469,11 +413,6 @@ def qq_points(spark, sf):
     return rounded(evaluation.qq_points(_scored(spark, sf), Y, P))
 
 
-@query("ks_normality")
-def ks_normality(spark, sf):
-    return evaluation.ks_test(_scored(spark, sf), Y, P)
-
-
 _PAIRED = ("averageRating", "numVotes", "startYear", "runtimeMinutes")
 
 

@@ -31,13 +31,18 @@ def number_bin(x: Column) -> Column:
     return F.when(x == 0, F.lit(0).cast("bigint")).when(x < 0, -size).otherwise(size)
 
 
-def exact_quantiles(df: DataFrame, column: str | Column,
-                    probabilities: Sequence[float]) -> DataFrame:
-    """``(prob, value)``: linearly interpolated quantiles of the column's numbers."""
+def exact_quantiles(df: DataFrame, column: str | Column, probabilities: Sequence[float],
+                    weight: str | None = None) -> DataFrame:
+    """``(prob, value)``: linearly interpolated quantiles of the column's numbers.
+
+    With ``weight`` a row stands for that many equal ones. However many probabilities there
+    are, a value takes part once: wanted ranks travel as arrays with their bins.
+    """
     source = F.col(column) if isinstance(column, str) else column
-    counts = (df.select(source.cast("double").alias("x"))
+    rows = F.lit(1) if weight is None else F.col(weight)
+    counts = (df.select(source.cast("double").alias("x"), rows.alias("n"))
               .where(F.col("x").isNotNull() & ~F.isnan("x"))
-              .groupBy("x").agg(F.count(F.lit(1)).alias("n")))
+              .groupBy("x").agg(F.sum("n").alias("n")))
     binned = counts.select("x", "n", number_bin(F.col("x")).alias("bin"))
 
     upto = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
@@ -47,43 +52,50 @@ def exact_quantiles(df: DataFrame, column: str | Column,
         "bin", "lo", "hi", (F.sum("n").over(upto) - F.col("n")).alias("before"),
         F.col("n"), F.sum("n").over(Window.partitionBy()).alias("total"))
 
-    def holds(position: Column) -> Column:
-        """The bin has the rank just below or just above the position."""
+    def holding(wanted: Column) -> Column:
+        """The wanted ranks just below or just above which lie from ``before`` on, ``n`` of them."""
         first, last = F.col("before"), F.col("before") + F.col("n")
-        return ((F.floor(position) >= first) & (F.floor(position) < last)
-                | (F.ceil(position) >= first) & (F.ceil(position) < last))
+
+        def inside(rank: Column) -> Column:
+            return (rank >= first) & (rank < last)
+
+        return F.filter(wanted, lambda w: inside(F.floor(w["position"]))
+                        | inside(F.ceil(w["position"])))
 
     probs = F.expr(f"array({', '.join(f'{float(p)!r}D' for p in probabilities)})")
     wanted = F.transform(probs, lambda p, i: F.struct(
         i.alias("target"), p.alias("prob"), (p * (F.col("total") - 1)).alias("position")))
-    bins = running.select("bin", "lo", "hi", F.col("before").alias("start"), F.inline(
-        F.filter(wanted, lambda w: holds(w["position"]))))
+    bins = running.select("bin", "lo", "hi", F.col("before").alias("start"),
+                          holding(wanted).alias("wanted")).where(F.size("wanted") > 0)
 
     # At most two bins per probability: small enough to broadcast by construction.
     share = F.try_divide(F.col("x") - F.col("lo"), F.col("hi") - F.col("lo"))
     inside = binned.join(F.broadcast(bins), "bin").select(
-        "target", "bin", "start", "prob", "position", "x", "n",
+        "bin", "start", "wanted", "x", "n",
         F.coalesce(F.floor(share * (_PARTS - 1)), F.lit(0)).cast("bigint").alias("part"))
-    within = (Window.partitionBy("target", "bin").orderBy("part")
-              .rowsBetween(Window.unboundedPreceding, 0))
-    parts = (inside.groupBy("target", "bin", "start", "position", "part")
-             .agg(F.sum("n").alias("n"))
-             .withColumn("before", F.col("start") + F.sum("n").over(within) - F.col("n"))
-             .where(holds(F.col("position"))).select("target", "bin", "part", "before"))
-
-    # One shuffle by target serves both the running count and the final grouping.
-    few = inside.join(F.broadcast(parts), ["target", "bin", "part"]).repartition("target")
-    order = (Window.partitionBy("target", "bin", "part").orderBy("x")
+    within = Window.partitionBy("bin").orderBy("part").rowsBetween(Window.unboundedPreceding, 0)
+    parts = (inside.groupBy("bin", "part").agg(
+        F.sum("n").alias("n"), F.any_value("start").alias("start"),
+        F.any_value("wanted").alias("wanted"))
+        .withColumn("before", F.col("start") + F.sum("n").over(within) - F.col("n"))
+        .select("bin", "part", "before", holding(F.col("wanted")).alias("wanted"))
+        .where(F.size("wanted") > 0))
+
+    # Of each part its distinct values are ordered, and each value keeps the ranks it holds.
+    order = (Window.partitionBy("bin", "part").orderBy("x")
              .rowsBetween(Window.unboundedPreceding, 0))
-    reached = few.select("target", "prob", "position", "x", (
-        F.col("before") + F.sum("n").over(order)).alias("seen"))
+    few = inside.select("bin", "part", "x", "n").join(F.broadcast(parts), ["bin", "part"])
+    reached = few.select("x", "n", "wanted", (
+        F.col("before") + F.sum("n").over(order) - F.col("n")).alias("before"))
+    each = reached.select("x", "n", "before", F.inline(holding(F.col("wanted"))))
 
     def value(rank: Column) -> Column:
-        return F.min(F.when(F.col("seen") > rank, F.col("x")))
+        return F.min(F.when((rank >= F.col("before")) & (rank < F.col("before") + F.col("n")),
+                            F.col("x")))
 
     lower, upper = value(F.floor("position")), value(F.ceil("position"))
     fraction = F.any_value(F.col("position") - F.floor("position"))
-    return reached.groupBy("target").agg(
+    return each.groupBy("target").agg(
         F.any_value("prob").alias("prob"),
         F.when(lower == upper, lower).otherwise(lower + (upper - lower) * fraction)
         .alias("value")).drop("target")

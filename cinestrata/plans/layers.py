@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -10,16 +11,21 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cinestrata.functions import tables
+from cinestrata.functions.lists import items
 from cinestrata.functions.tables import with_features
 from cinestrata.operators.aggregates import top_names
 from cinestrata.operators.cleaning import CLEANERS, clean_generic
-from cinestrata.operators.quantiles import quantile
+from cinestrata.operators.quantiles import exact_quantiles, quantile
+from cinestrata.plans.counts import ValueCounts, most_frequent
 from cinestrata.schema import (
     BATCH_COLUMN, BATCH_RUN, NULL_TOKEN, PARTITION_COLUMNS, table)
 from cinestrata.sources.catalog import add_columns, add_partitions, register_table
 from cinestrata.sources.readers import read_layer, read_raw_tsv
 from cinestrata.sources.sinks import add_ingestion_metadata, balanced, write_layer
 
+# Genres that get a flag in the extended titles.
+TOP_GENRES = 10
+
 
 @dataclass(frozen=True)
 class RunConfig:
@@ -60,16 +66,22 @@ def run_exists(spark: SparkSession, path: str, run_ts: str) -> bool:
     return bool(of_run(layer, run_ts).where(F.col(BATCH_COLUMN) == BATCH_RUN).head(1))
 
 
-def refine(trusted: DataFrame, name: str, cfg: RunConfig) -> DataFrame:
-    """The table's features in the run's variant; thresholds and genres are those of the given rows."""
+def refine(trusted: DataFrame, name: str, cfg: RunConfig, threshold: float | None = None,
+           genres: Sequence[str] | None = None) -> DataFrame:
+    """The table's features in the run's variant.
+
+    Without a threshold or genres given, they are those of the given rows.
+    """
     extended = cfg.feature_variant == "extended"
     if name == "ratings":
-        threshold = cfg.vote_threshold
+        if threshold is None:
+            threshold = cfg.vote_threshold
         if threshold is None:
             threshold = quantile(trusted, "numVotes", cfg.popular_share)
         return with_features(trusted, tables.ratings(threshold, extended))
-    genres = top_names(trusted, "genres", 10, as_list=True) if extended and name == "basics" \
-        else []
+    if genres is None:
+        genres = top_names(trusted, "genres", TOP_GENRES, as_list=True) \
+            if extended and name == "basics" else []
     second = tables.extended(name, cfg.as_of_year, genres) if extended else None
     if second is not None:
         return with_features(trusted, second)
@@ -103,8 +115,9 @@ def refine_date(spark: SparkSession, name: str, cfg: RunConfig, run_ts: str,
     """REFINED of the named batches of a run date, from the TRUSTED files, and the catalog tables.
 
     The popularity of ratings and the genres of the extended titles depend on all rows of the
-    date, so these are refined anew for all its batches: the result is that of one run over the
-    same rows, in whatever order they came. Other features are per row.
+    date. They are derived from value counts kept per batch, so of other batches only those are
+    refined anew in which a flag changes: the result is that of one run over the same rows, in
+    whatever order they came. Other features are per row.
     """
     trusted_path, refined_path = cfg.path("trusted", name), cfg.path("refined", name)
     try:
@@ -113,11 +126,17 @@ def refine_date(spark: SparkSession, name: str, cfg: RunConfig, run_ts: str,
         if err.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return    # no batch had a clean row
         raise
-    extended = cfg.feature_variant == "extended"
-    if name != "ratings" and not (extended and name == "basics"):
+    state = _state_of(spark, name, cfg, run_ts)
+    if state is None:
         trusted = trusted.where(F.col(BATCH_COLUMN).isin(*batches))
-    refined = refine(trusted, name, cfg)
+        refined = refine(trusted, name, cfg)
+    else:
+        now, affected = state.updated(trusted, batches)
+        trusted = trusted.where(F.col(BATCH_COLUMN).isin(*sorted({*batches, *affected})))
+        refined = refine(trusted, name, cfg, **now)
     write_layer(refined, refined_path)
+    if state is not None:
+        state.note(now)
     if cfg.database:
         keys = (*PARTITION_COLUMNS, BATCH_COLUMN)
         written = [tuple(r) for r in trusted.select(*keys).distinct().collect()]
@@ -128,6 +147,66 @@ def refine_date(spark: SparkSession, name: str, cfg: RunConfig, run_ts: str,
             add_partitions(spark, full, keys, written)
 
 
+class _DateState:
+    """The value counts of a run date's batches, and what was last derived of them.
+
+    What was derived is noted after REFINED is written. A run that fails before that leaves the
+    older note, and the next one refines all batches that differ from it.
+    """
+
+    def __init__(self, spark: SparkSession, name: str, cfg: RunConfig, run_ts: str):
+        self.spark, self.name, self.cfg = spark, name, cfg
+        self.path = f"{cfg.root}/_counts/{name}/{cfg.feature_variant}/{run_ts[:10]}"
+        self.counts = ValueCounts(spark, f"{self.path}/values",
+                                  "int" if name == "ratings" else "string")
+
+    def updated(self, trusted: DataFrame, batches: Sequence[str]) -> tuple[dict, set[str]]:
+        """The setting of the date's features after the batches, and the batches it changes.
+
+        Only the new batches' values are read, and those of batches never counted before.
+        """
+        present = {r[0] for r in trusted.select(BATCH_COLUMN).distinct().collect()}
+        new = {*batches, *(present - self.counts.batches())}
+        value = F.col("numVotes") if self.name == "ratings" else F.explode(items("genres"))
+        self.counts.add(trusted.where(F.col(BATCH_COLUMN).isin(*sorted(new))), value)
+        before = self.noted()
+        if self.name == "ratings":
+            share = [self.cfg.popular_share]
+            found = exact_quantiles(self.counts.total(), "value", share, weight="n").first()
+            now = None if found is None else found["value"]    # no votes at all
+            if before is None or now is None:
+                return {"threshold": now}, present
+            return {"threshold": now}, self.counts.holding(*sorted((float(before), now)))
+        genres = most_frequent(self.counts.total(), TOP_GENRES)
+        same = before is not None and json.loads(before) == genres
+        return {"genres": genres}, set() if same else present
+
+    def noted(self) -> str | None:
+        try:
+            row = self.spark.read.schema("setting string").parquet(f"{self.path}/setting").first()
+        except AnalysisException as err:
+            if err.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        return None if row is None else row["setting"]
+
+    def note(self, now: dict) -> None:
+        """One row, replaced; without it the next run refines every batch."""
+        (setting,) = now.values()
+        if setting is None:
+            return
+        text = repr(setting) if self.name == "ratings" else json.dumps(setting)
+        (self.spark.createDataFrame([(text,)], "setting string").coalesce(1)
+         .write.mode("overwrite").parquet(f"{self.path}/setting"))
+
+
+def _state_of(spark: SparkSession, name: str, cfg: RunConfig, run_ts: str) -> _DateState | None:
+    """The state of tables with features across rows; None for the others."""
+    by_votes = name == "ratings" and cfg.vote_threshold is None
+    by_genres = name == "basics" and cfg.feature_variant == "extended"
+    return _DateState(spark, name, cfg, run_ts) if by_votes or by_genres else None
+
+
 def run_tables(spark: SparkSession, cfg: RunConfig, raw_paths: dict[str, str],
                force: bool = False, at_once: int = 4) -> dict[str, bool]:
     """:func:`run_table` for several independent tables, ``at_once`` of them at a time.
