@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F
 
 from checks.registry import RUN_TS, query, rounded, trusted, view
-from cinestrata.operators import cleaning, columns
+from cinestrata.operators import cleaning, columns, lookup
 from cinestrata.schema import NULL_TOKEN, TABLES
 from cinestrata.session import workspace
-from cinestrata.sources import audit, catalog, readers, sinks
+from cinestrata.plans.layers import RunConfig, run_table
+from cinestrata.sources import audit, catalog, footers, readers, reconcile, sinks
 from pyspark.sql import types as T
 
 
@@ -308,3 +311,60 @@ select movie_id, coalesce(content_rating, 'na') as content_rating, duration from
 def fill_na_string(spark, sf):
     return columns.fill_na_string(
         view(spark, sf, "t_movies").select("movie_id", "content_rating", "duration"))
+
+
+@query("reconciled_types", """
+select l_orderkey, l_linenumber, cast(l_quantity as double) as amount,
+       case when l_orderkey % 3 = 2 then l_returnflag end as flag, cast(l_orderkey % 3 as int) as part
+from lineitem""")
+def reconciled_types(spark, sf):
+    """Three loads of one table whose amount was written as int, long and double, read as one."""
+    path = workspace(spark, "loads")
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet")
+    keys = ["l_orderkey", "l_linenumber"]
+    for part, kind in enumerate(("int", "long", "double")):
+        more = ["l_returnflag as flag"] if part == 2 else []
+        rows = lines.where(F.col("l_orderkey") % 3 == part)
+        rows.selectExpr(*keys, f"cast(l_quantity as {kind}) as amount", *more).write.parquet(
+            f"{path}/part={part}")
+    return reconcile.read_reconciled(spark, path)
+
+
+_FOOTED = ("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice")
+
+
+@query("footer_profile", " union all ".join(
+    f"select '{c}' as \"column\", count(*) as rows, count({c}) as filled, min({c})::double as min, "
+    f"max({c})::double as max from lineitem" for c in _FOOTED))
+def footer_profile(spark, sf):
+    """Ranges of a table's columns from its footers alone."""
+    return footers.footer_profile(spark, f"{sf}/lineitem.parquet", _FOOTED)
+
+
+@query("bloom_lookup", """
+select o_orderkey, o_custkey from (select *, 'o' || md5(cast(o_orderkey as varchar)) as id from orders)
+where o_orderkey % 1500 = 7""")
+def bloom_lookup(spark, sf):
+    """Orders looked up by scattered text ids in a table with Bloom filters."""
+    orders = spark.read.parquet(f"{sf}/orders.parquet").select(
+        F.concat(F.lit("o"), F.md5(F.col("o_orderkey").cast("string"))).alias("id"),
+        "o_orderkey", "o_custkey")
+    path = workspace(spark, "bloom")
+    sinks.write_lookup(orders, path, "id", rows_per_file=2000)
+    wanted = [r["id"] for r in orders.where("o_orderkey % 1500 = 7").select("id").collect()]
+    return lookup.lookup(spark.read.parquet(path), wanted, "id").drop("id")
+
+
+@query("concurrent_runs", """
+select tconst, numVotes, is_popular, 1 as runs from r_ratings""")
+def concurrent_runs(spark, sf):
+    """Four runs of one date at a time: one of them writes."""
+    root = workspace(spark, "layers")
+    cfg = RunConfig(root, RUN_TS, 2024)
+    path = f"{root}/raw/{TABLES['ratings'].file_name}"
+    readers.write_raw_tsv(view(spark, sf, "t_ratings"), path)
+    with ThreadPoolExecutor(4) as pool:
+        ran = [pool.submit(run_table, spark, "ratings", cfg, path) for _ in range(4)]
+        runs = sum(r.result() for r in ran)
+    return readers.read_layer(spark, cfg.path("refined", "ratings")).select(
+        "tconst", "numVotes", "is_popular", F.lit(runs).alias("runs"))

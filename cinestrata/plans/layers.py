@@ -19,6 +19,7 @@ from cinestrata.operators.quantiles import exact_quantiles, quantile
 from cinestrata.plans.counts import ValueCounts, most_frequent
 from cinestrata.schema import (
     BATCH_COLUMN, BATCH_RUN, NULL_TOKEN, PARTITION_COLUMNS, table)
+from cinestrata.sources.claims import claimed
 from cinestrata.sources.catalog import add_columns, add_partitions, register_table
 from cinestrata.sources.readers import read_layer, read_raw_tsv
 from cinestrata.sources.sinks import add_ingestion_metadata, balanced, write_layer
@@ -39,6 +40,7 @@ class RunConfig:
     vote_threshold: float | None = None  # a known threshold spares the quantile's scan
     rebalance: bool = True  # one shuffle, for RAW in few unsplittable files
     feature_variant: str = "standard"  # or "extended": the second variant of the features
+    stale_seconds: float = 600.0  # a run that shows no sign of life for so long may be repeated
 
     def __post_init__(self) -> None:
         if self.feature_variant not in ("standard", "extended"):
@@ -96,18 +98,26 @@ def run_table(spark: SparkSession, name: str, cfg: RunConfig, raw_path: str,
     """Run one table's layers; False when the date was done before and ``force`` is not set.
 
     RAW is parsed once. REFINED is computed from the TRUSTED files just written, so
-    no step repeats the text parsing and a failed step can start from files.
+    no step repeats the text parsing and a failed step can start from files. Of several runs
+    of a date at a time one does the work, and the others return False.
     """
-    trusted_path, refined_path = cfg.path("trusted", name), cfg.path("refined", name)
-    if not force and run_exists(spark, refined_path, cfg.run_ts):
+    if not force and run_exists(spark, cfg.path("refined", name), cfg.run_ts):
         return False
-    spec = table(name)
-    raw = read_raw_tsv(spark, raw_path, spec.raw_schema, null_token=NULL_TOKEN)
-    clean = CLEANERS.get(name, clean_generic)(raw)
-    rows = balanced(clean) if cfg.rebalance else clean
-    write_layer(add_ingestion_metadata(rows, cfg.run_ts), trusted_path, batch=BATCH_RUN)
-    refine_date(spark, name, cfg, cfg.run_ts, [BATCH_RUN])
-    return True
+    path = f"{cfg.root}/_claims/{name}/{cfg.run_ts[:10]}"
+    with claimed(spark, path, cfg.stale_seconds) as claim:
+        # The run that held the claim until now may have done it.
+        if claim is None or not force and run_exists(
+                spark, cfg.path("refined", name), cfg.run_ts):
+            return False
+        spec = table(name)
+        raw = read_raw_tsv(spark, raw_path, spec.raw_schema, null_token=NULL_TOKEN)
+        clean = CLEANERS.get(name, clean_generic)(raw)
+        rows = balanced(clean) if cfg.rebalance else clean
+        write_layer(add_ingestion_metadata(rows, cfg.run_ts), cfg.path("trusted", name),
+                    batch=BATCH_RUN)
+        claim.check()
+        refine_date(spark, name, cfg, cfg.run_ts, [BATCH_RUN])
+        return True
 
 
 def refine_date(spark: SparkSession, name: str, cfg: RunConfig, run_ts: str,
@@ -177,7 +187,7 @@ class _DateState:
             if before is None or now is None:
                 return {"threshold": now}, present
             return {"threshold": now}, self.counts.holding(*sorted((float(before), now)))
-        genres = most_frequent(self.counts.total(), TOP_GENRES)
+        genres = sorted(most_frequent(self.counts.total(), TOP_GENRES))
         same = before is not None and json.loads(before) == genres
         return {"genres": genres}, set() if same else present
 
