@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from checks.registry import AS_OF_YEAR, ORACLES, RUN_TS, query, rounded, view
-from checks.features import _sql_kept, _sql_size
+from checks.features import _GENRES, _sql_kept, _sql_size
 from cinestrata.functions import tables
 from cinestrata.operators.ordering import bucket
 from cinestrata.plans.layers import RunConfig, run_table, run_tables
@@ -142,6 +142,44 @@ def layer_run_extended(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
+# Every feature of the second variants, by other queries' SQL.
+_EXTENDED = {
+    "basics": (f"select tconst, film_age, f.has_runtime, genre_count, t.* exclude (tconst), "
+               f"g.* exclude (tconst) from ({ORACLES['film_age']}) a join "
+               f"({ORACLES['basics_flags']}) f using (tconst) join ({ORACLES['genre_count']}) c "
+               f"using (tconst) join ({ORACLES['type_onehot']}) t using (tconst) "
+               f"join ({ORACLES['top_genre_flags']}) g using (tconst) join c_basics using (tconst)",
+               ["tconst", "film_age", "has_runtime", "genre_count",
+                *[f"type_{t}" for t in tables.TITLE_TYPES], *[f"genre_{g.lower()}" for g in _GENRES]]),
+    "principals": (f"select * from ({ORACLES['principals_onehot']})",
+                   ["tconst", "nconst", "ordering", "is_lead_actor",
+                    *[f"is_{c}" for c in tables.PRINCIPAL_CATEGORIES]]),
+}
+
+
+def _text_of(columns):
+    return ", ".join(f"coalesce(cast(\"{c}\" as varchar), '~')" for c in columns)
+
+
+@query("layer_run_extended_all", " union all ".join(
+    f"select '{t}' as \"table\", concat_ws('|', {_text_of(c)}) as features, count(*) as n "
+    f"from ({q}) x group by all" for t, (q, c) in _EXTENDED.items()))
+def layer_run_extended_all(spark, sf):
+    """All features of titles and principals in the second variant, from a layer run."""
+    root = workspace(spark, "layers")
+    cfg = RunConfig(root, RUN_TS, AS_OF_YEAR, feature_variant="extended")
+    parts = []
+    for name, (_, columns) in _EXTENDED.items():
+        _arrive(view(spark, sf, f"t_{name}"), name, f"{root}/raw", "day1")
+        run_table(spark, name, cfg, f"{root}/raw/day1/{TABLES[name].file_name}")
+        refined = readers.read_layer(spark, cfg.path("refined", name))
+        text = F.concat_ws("|", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("~"))
+                                  for c in columns])
+        parts.append(refined.groupBy(F.lit(name).alias("table"), text.alias("features")).agg(
+            F.count(F.lit(1)).alias("n")))
+    return parts[0].unionByName(parts[1])
+
+
 @query("force_refresh", """
 select tconst, numVotes, rating_category, is_popular, true as first_run, false as second_run,
        true as forced_run from r_ratings""")

@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from cinestrata.operators.quantiles import number_bin
 
-# Bytes of a text behind the common beginning that tell its bin.
-_CODE_BYTES = 7
+# Bytes of a text that one histogram tells apart.
+_STEP_BYTES = 2
 
 
 def top_n(df: DataFrame, order: Sequence[Column], n: int, where: Column | None = None,
@@ -26,39 +26,56 @@ def top_n(df: DataFrame, order: Sequence[Column], n: int, where: Column | None =
     return df.orderBy(*order).limit(n).select(*columns)
 
 
-def _text_bin(df: DataFrame, key: str) -> Column:
-    """A number that grows with the text: its bytes after those that all texts begin with."""
+def _text_cut(df: DataFrame, key: str, n: int) -> bytes | None:
+    """The beginning up to which at least n texts come, or all texts (None), by few more than n.
+
+    A histogram of the next bytes tells in which of them the n-th text lies, and the next one
+    looks into that bin only, until it holds at most n texts. Texts far from all others take a
+    bin of their own and blur nothing; a histogram has at most 65,793 bins.
+    """
     ends = df.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
     lo, hi = (ends["lo"] or "").encode(), (ends["hi"] or "").encode()
     same = next((i for i, (x, y) in enumerate(zip(lo, hi)) if x != y), min(len(lo), len(hi)))
-    code = F.hex(F.substring(F.encode(F.col(key), "utf-8"), same + 1, _CODE_BYTES))
-    padded = F.rpad(code, 2 * _CODE_BYTES, "0")
-    return F.conv(padded, 16, 10).cast("bigint")
+    start, missing = lo[:same], n
+    code = F.encode(F.col(key), "utf-8")
+    while True:
+        keys = df.where(F.col(key).isNotNull()).select(code.alias("code")).where(
+            F.substring("code", 1, len(start)) == F.lit(bytearray(start)))
+        counts = keys.groupBy(F.substring("code", len(start) + 1, _STEP_BYTES).alias("next")).agg(
+            F.count(F.lit(1)).alias("rows"))
+        upto = Window.orderBy("next").rowsBetween(Window.unboundedPreceding, 0)
+        found = counts.select("next", "rows", F.sum("rows").over(upto).alias("upto")).where(
+            F.col("upto") >= missing).orderBy("next").first()
+        if found is None:
+            return None
+        step = bytes(found["next"])
+        start, missing = start + step, missing - (found["upto"] - found["rows"])
+        if found["rows"] <= n or len(step) < _STEP_BYTES:
+            return start
 
 
 def head_n(df: DataFrame, n: int, key: str) -> DataFrame:
     """The first n rows by key, missing keys last, for any n.
 
-    A histogram of the keys tells the bin in which the n-th row lies; only rows up to it are
-    ordered, about n of them unless very many keys share that bin.
+    Histograms of the keys tell where the n-th row lies; only rows up to it are ordered, at most
+    2n of them with text keys unless one key has more rows.
     """
-    text = isinstance(df.schema[key].dataType, T.StringType)
-    place = _text_bin(df, key) if text else number_bin(F.col(key).cast("double"))
-    beyond = F.lit((1 << 62))
-    marked = df.withColumn("__bin", F.when(F.col(key).isNull(), beyond).otherwise(place))
+    first = F.col(key).asc_nulls_last()
+    if n <= 0:
+        return df.limit(0)
+    if isinstance(df.schema[key].dataType, T.StringType):
+        cut = _text_cut(df, key, n)
+        if cut is None:
+            return df.orderBy(first).limit(n)
+        head = F.substring(F.encode(F.col(key), "utf-8"), 1, len(cut))
+        return df.where(head <= F.lit(bytearray(cut))).orderBy(first).limit(n)
+    place = number_bin(F.col(key).cast("double"))
+    marked = df.withColumn("__bin", F.when(F.col(key).isNull(), F.lit(1 << 62)).otherwise(place))
     upto = Window.orderBy("__bin").rowsBetween(Window.unboundedPreceding, 0)
-    if text:
-        # At most 4096 bins of texts: the leading half of their codes' range, cut evenly.
-        ends = marked.where(F.col("__bin") < beyond).agg(
-            F.min("__bin").alias("lo"), F.max("__bin").alias("hi")).first()
-        lo, width = ends["lo"] or 0, max(1, ((ends["hi"] or 0) - (ends["lo"] or 0)) // 4095 + 1)
-        marked = marked.withColumn("__bin", F.when(F.col("__bin") == beyond, beyond).otherwise(
-            F.floor((F.col("__bin") - lo) / width)))
     histogram = marked.groupBy("__bin").agg(F.count(F.lit(1)).alias("rows"))
     running = histogram.select("__bin", (F.sum("rows").over(upto) - F.col("rows")).alias("before"))
     last = running.where(F.col("before") < n).agg(F.max("__bin")).scalar()
-    return marked.where(F.col("__bin") <= last).orderBy(F.col(key).asc_nulls_last()).limit(
-        n).drop("__bin")
+    return marked.where(F.col("__bin") <= last).orderBy(first).limit(n).drop("__bin")
 
 
 def digest(key: str, seed: str = "") -> Column:

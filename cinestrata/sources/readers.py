@@ -32,14 +32,16 @@ def write_raw_tsv(df: DataFrame, path: str, null_token: str = NULL_TOKEN) -> Non
      .option("compression", "gzip").csv(path))
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType,
+             multi_line: bool = True) -> DataFrame:
     """Read a comma-separated training file with a header and declared types.
 
-    A quoted value may hold line breaks, so a file is one task. The header must name the
+    A quoted value may hold line breaks, so a file is one task. Without them in the data
+    (``multi_line=False``) a large file is split among tasks. The header must name the
     schema's columns in their order.
     """
     return (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
-            .option("escape", '"').option("multiLine", True).csv(path))
+            .option("escape", '"').option("multiLine", multi_line).csv(path))
 
 
 def read_layer(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:

@@ -128,3 +128,25 @@ def test_sparse_vector_encoding(spark):
     df = spark.createDataFrame([("a",), ("b",), ("a",), (None,)], "v string")
     got = encoding.one_hot_vector(df, "v", "vec").transform(df).select("vec").collect()
     assert got[0]["vec"] == got[2]["vec"] != got[1]["vec"]
+
+
+def test_head_n_with_outlying_keys(spark):
+    keys = spark.range(60_000).select(F.format_string("tt%07d", F.col("id")).alias("key"))
+    far = spark.createDataFrame([("a",), ("zz",), ("",), (None,), ("tt",), ("tt0",)], "key string")
+    df = keys.union(far).repartition(5)
+    want = sorted(["a", "", "tt", "tt0"] + [f"tt{i:07d}" for i in range(60_000)])
+    for n in (1, 3, 4, 5, 777, 40_000):
+        assert [r["key"] for r in ordering.head_n(df, n, "key").collect()] == want[:n]
+    # The outliers do not keep the others together: few more than n rows are ordered.
+    cut = ordering._text_cut(df, "key", 777)
+    assert 777 <= sum(k.encode()[:len(cut)] <= cut for k in want) <= 2 * 777
+    assert ordering._text_cut(df, "key", 70_000) is None
+    got = [r["key"] for r in ordering.head_n(df, 70_000, "key").collect()]
+    assert got[-1] is None and got[-2] == "zz" and len(got) == 60_006
+    assert ordering.head_n(df, 0, "key").collect() == []
+
+
+def test_head_n_with_one_frequent_key(spark):
+    df = spark.createDataFrame([("same",)] * 900 + [("zero",), ("a",)], "key string")
+    got = [r["key"] for r in ordering.head_n(df, 10, "key").collect()]
+    assert got == ["a"] + ["same"] * 9
