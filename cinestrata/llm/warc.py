@@ -216,7 +216,8 @@ def write_archives(pages: DataFrame, folder: str, shard_bytes: int = 16 << 20,
     fs, base = pafs.FileSystem.from_uri(folder)
     temporary = "_temporary"
     fs.create_dir(f"{base}/{temporary}")
-    written = (both.repartition(len(bounds) + 1, "shard")
+    # A shard is a task: hashing shards would leave tasks empty and give others several.
+    written = (both.repartitionById(len(bounds) + 1, F.col("shard").cast("int"))
                .sortWithinPartitions("shard", "page_id", "sha", F.col("first").asc_nulls_last(),
                                      "url")
                .mapInArrow(_writer(folder, temporary, file_bytes, date), _FILES))
