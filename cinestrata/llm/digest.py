@@ -32,6 +32,10 @@ def digest(text: str) -> str:
     data = np.frombuffer(text.encode(), np.uint8)
     count = np.zeros(BUCKETS, np.int64)
     near, far = OFFSETS
+    size = len(data)
+    if 0 < size <= far:
+        # Too short for a triplet: the text follows on itself, so that each byte begins one.
+        data = np.resize(data, size + far)
     for at in range(0, max(len(data) - far, 0), _SPAN):
         part = data[at:at + _SPAN + far].astype(np.uint32)
         n = len(part) - far
@@ -45,7 +49,7 @@ def digest(text: str) -> str:
     cuts = ranked[[BUCKETS // 4 - 1, BUCKETS // 2 - 1, BUCKETS * 3 // 4 - 1]]
     code = (count[:, None] > cuts).sum(axis=1).astype(np.uint8).reshape(-1, 4)
     packed = code[:, 0] << 6 | code[:, 1] << 4 | code[:, 2] << 2 | code[:, 3]
-    length = min(0xFFFF, round(1024 * np.log2(1 + len(data))))
+    length = min(0xFFFF, round(1024 * np.log2(1 + size)))
     return f"{length:04x}" + packed.astype(np.uint8).tobytes().hex()
 
 

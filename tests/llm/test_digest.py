@@ -12,13 +12,16 @@ SF = "/root/testdata/sf0.01"
 def plain(text):
     data = text.encode()
     count = [0] * 256
+    size = len(data)
+    if 0 < size < 8:
+        data = (data * 8)[:size + 7]
     for i in range(len(data) - 7):
         h = (data[i] * 0x9E3779B1 + data[i + 3] * 0x85EBCA77 + data[i + 7] * 0xC2B2AE3D) % 2**32
         h ^= h >> 15
         count[h * 0x2C1B3C6D % 2**32 >> 24] += 1
     s = sorted(count)
     code = [(c > s[63]) + (c > s[127]) + (c > s[191]) for c in count]
-    return round(1024 * np.log2(1 + len(data))), code
+    return round(1024 * np.log2(1 + size)), code
 
 
 def brute(rows):
@@ -35,7 +38,7 @@ def brute(rows):
 
 
 def test_digest_and_likeness(monkeypatch):
-    for t in ["", "abc", "é" * 9, "the words of a text " * 40]:
+    for t in ["", "a", "abc", "seven b", "eight by", "é" * 9, "the words of a text " * 40]:
         length, code = plain(t)
         got = digest.codes(digest.digest(t))
         assert got[0] == length and got[1].tolist() == code
@@ -47,6 +50,12 @@ def test_digest_and_likeness(monkeypatch):
     assert 0 <= digest.likeness(a, b) == digest.likeness(b, a) < 1
 
 
+def test_short_texts_differ():
+    short = ["a", "b", "abc", "xyz", "acb", "aaa", "seven b", "seven c"]
+    assert len({digest.digest(t) for t in short}) == len(short)
+    assert digest.likeness(digest.digest("abc"), digest.digest("xyz")) < 1
+
+
 def test_query_equals_brute_force_and_tells_edits(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     rows = op6_digest(spark, SF).collect()
