@@ -20,7 +20,6 @@ from cinestrata.llm.common import annotated, code_points, letter_table, pieces,
 
 SIZE = 4096              # hashed trigrams
 SAMPLE_ROWS = 4000       # labelled rows the model is fitted on, shared by the languages
-LANGUAGES = 400          # at most so many languages, those with most rows
 CENTROIDS = 4
 ROUNDS = 12
 MARGIN = 0.7             # of the cosine that nearly all of the sample reaches at a size
@@ -119,17 +118,23 @@ def held_out(doc_id: Column) -> Column:
 
 
 def _sample(docs: DataFrame) -> DataFrame:
-    """At most about ``SAMPLE_ROWS`` labelled rows in all, evenly by language, by digest of id."""
+    """About ``SAMPLE_ROWS`` different labelled rows in all, evenly by language, by digest.
+
+    Each language has at least about one row, so the bound on rows is the only one on languages
+    (those with most rows come first). A row is taken by its id and text, and equal rows once:
+    rows of a repeated id are not taken together.
+    """
     usable = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull()
                         & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    sizes = [(r["lang"], r["n"]) for r in usable.groupBy("lang").agg(
-        F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()]
-    each = SAMPLE_ROWS // max(1, len(sizes))
-    place = F.pmod(F.xxhash64(F.lit("sample"), F.col("doc_id")), F.lit(1 << 40)) / float(1 << 40)
-    share = F.create_map(*[F.lit(x) for lang, n in sizes for x in (lang, min(1.0, each / n))]) \
-        if sizes else F.lit(None)
-    return usable.where(place < F.coalesce(share[F.col("lang")], F.lit(0.0)) if sizes
-                        else F.lit(False))
+    sizes = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.orderBy(F.desc("n"), "lang").limit(SAMPLE_ROWS)
+    found = sizes.agg(F.count(F.lit(1))).first()[0]
+    each = max(1, SAMPLE_ROWS // max(1, found))
+    place = F.pmod(F.xxhash64(F.lit("sample"), F.col("doc_id"), F.col("text")), F.lit(1 << 40)
+                   ) / float(1 << 40)
+    # At most SAMPLE_ROWS names and numbers.
+    return usable.join(F.broadcast(sizes), "lang").where(
+        place < F.lit(float(each)) / F.col("n")).drop("n").dropDuplicates(["doc_id", "text", "lang"])
 
 
 def fit(docs: DataFrame) -> Model:

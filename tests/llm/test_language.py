@@ -101,3 +101,21 @@ def test_odd_rows(spark):
     unlabelled = language.identified(df.withColumn("lang", df.lang.substr(9, 0).substr(1, 0)).where(
         "doc_id = 2"))
     assert [tuple(r)[2:] for r in unlabelled.collect()] == [("und", 0.0, True)]
+
+
+def test_more_languages_than_a_few_hundred(spark):
+    """Each of 401 languages is learned, from few rows of each."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(10_000 * k + i, " ".join([letters[k % 26] + letters[k // 26 % 26] + letters[k // 13 % 26]]
+                                      * (9 + i)), f"l{k}") for k in range(401) for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    assert set(language.fit(df).languages) == {f"l{k}" for k in range(401)}
+
+
+def test_rows_of_one_id_and_equal_rows_are_not_taken_together(spark):
+    rows = [(1, f"text number {i} of the same identity", "en") for i in range(9000)]
+    rows += [(2, "the same text again and again", "en")] * 9000
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert not any(zlib.crc32(str(d).encode()) % 4 == 2 for d in (1, 2))
+    n = language._sample(df).count()
+    assert 1000 < n < 3500
