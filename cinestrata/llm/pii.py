@@ -14,8 +14,10 @@ that its features could see and are outside by definition.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -144,16 +146,28 @@ def sequences(text: str) -> list[list[tuple[int, int]]]:
     return [s[i:i + LONGEST] for s in out for i in range(0, len(s), LONGEST)]
 
 
-def labels_of(words: list[tuple[int, int]], spans: list[Span]) -> list[int]:
-    """The label of each word of a sequence under the given spans."""
+def reach_of(spans: list[Span]) -> list[int]:
+    """How far the spans up to each one reach; spans are in ascending order but may overlap."""
+    return list(accumulate((end for _, _, end in spans), max))
+
+
+def overlapping(spans: list[Span], reach: list[int], start: int, end: int) -> Iterator[Span]:
+    """The spans that share a character with the stretch, found by bisection."""
+    for i in range(bisect_right(reach, start), len(spans)):
+        if spans[i][0] >= end:
+            return
+        if spans[i][2] > start:
+            yield spans[i]
+
+
+def labels_of(words: list[tuple[int, int]], spans: list[Span],
+              reach: list[int] | None = None) -> list[int]:
+    """The label of each word of a sequence under the given spans; the first span on it counts."""
+    reach = reach_of(spans) if reach is None else reach
     out = []
     for a, b in words:
-        label = 0
-        for start, kind, end in spans:
-            if start < b and a < end:
-                label = 1 + 2 * kind + (start < a)
-                break
-        out.append(label)
+        hit = next(overlapping(spans, reach, a, b), None)
+        out.append(0 if hit is None else 1 + 2 * hit[1] + (hit[0] < a))
     return out
 
 
@@ -354,6 +368,7 @@ def added_spans(texts: list[str], base: list[list[Span]], model: Field) -> list[
         return found
     where = [(i, s) for i, t in enumerate(texts) for s in sequences(t)]
     words = [[texts[i][a:b] for a, b in s] for i, s in where]
+    reach = [reach_of(b) for b in base]
     for (i, spots), ws, labels in zip(where, words, model.decode(words)):
         at = 0
         while at < len(labels):
@@ -373,8 +388,8 @@ def added_spans(texts: list[str], base: list[list[Span]], model: Field) -> list[
                     text[start] == "(" and ")" in text[start:end])):
                 start += 1
             whole = text[start:end]
-            if sure and start < end and _TRIGGER.search(whole) and not any(
-                    a < end and start < b for a, _, b in base[i]):
+            if sure and start < end and _TRIGGER.search(whole) and next(
+                    overlapping(base[i], reach[i], start, end), None) is None:
                 found[i].append((start, kind, end))
     return found
 
@@ -386,9 +401,10 @@ def labelled_sequences(docs: DataFrame) -> DataFrame:
             words, labels = [], []
             for text in texts_of(batch):
                 spans = base_spans(text)
+                reach = reach_of(spans)
                 for s in sequences(text):
                     words.append([text[a:b][:200] for a, b in s])
-                    labels.append(labels_of(s, spans))
+                    labels.append(labels_of(s, spans, reach))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(words, pa.list_(pa.string())), pa.array(labels, pa.list_(pa.int32()))],
                 ["words", "labels"])

@@ -1,6 +1,8 @@
 import hashlib
 import itertools
+import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -150,3 +152,28 @@ def test_odd_rows_and_masking(spark):
     assert back[1].text is None and back[1].n_chars == 0
     assert back[4].n_chars is None and back[5].text.endswith(" [PHONE]")
     assert pii.personal_data(docs.limit(0)).count() == 0
+
+
+def test_labels_equal_a_look_at_every_span():
+    rng = random.Random(4)
+    for _ in range(200):
+        spans = sorted((a, rng.randrange(4), a + rng.randint(1, 30)) for a in rng.sample(range(200), 12))
+        words, at = [], 0
+        while at < 220:
+            words.append((at, at + rng.randint(1, 9)))
+            at = words[-1][1] + rng.randint(1, 4)
+        plain = []
+        for a, b in words:
+            hit = next((s for s in spans if s[0] < b and a < s[2]), None)
+            plain.append(0 if hit is None else 1 + 2 * hit[1] + (hit[0] < a))
+        assert pii.labels_of(words, spans) == plain
+
+
+def test_labelling_is_linear_in_the_addresses():
+    text = "a1@b.co " * 100_000
+    spans = pii.base_spans(text)
+    assert len(spans) == 100_000
+    start = time.perf_counter()
+    reach = pii.reach_of(spans)
+    assert all(pii.labels_of(s, spans, reach)[0] == 1 for s in pii.sequences(text))
+    assert time.perf_counter() - start < 20
