@@ -26,7 +26,7 @@ select *, {_KEY} % 2 + 1 as day, case when {_KEY} % 97 = 0 then 'cells: 2 of 3'
 from t_ratings"""
 
 
-def _broken_files(spark, sf, root):
+def _broken_files(spark, sf, root, folder=""):
     """Two days of raw files of ratings, some of whose lines are no rows."""
     rows = view(spark, sf, "t_ratings").withColumn("k", F.expr(_KEY))
 
@@ -43,7 +43,7 @@ def _broken_files(spark, sf, root):
     for day in (1, 2):
         (lines.where(F.col("day") == day).select(F.col(f"`{name}`")).repartition(2).write
          .option("header", True).option("sep", "\x01").option("quote", "").option(
-             "compression", "gzip").csv(f"{root}/raw/day{day}"))
+             "compression", "gzip").csv(f"{root}/raw/day{day}/{folder}"))
 
 
 @query("quarantine_counts", f"""
@@ -143,3 +143,31 @@ from l""")
 def ks_normality(spark, sf):
     found = evaluation.ks_test(_scored(spark, sf), Y, P)
     return rounded(found, 9).withColumn("p_value", F.round("p_value", 6))
+
+
+@query("layers_with_rejects", f"""
+with b as ({_BROKEN}),
+good as (select * from b where reason is null and averageRating >= 1 and averageRating <= 10
+         and numVotes >= 5)
+select tconst, cast(numVotes as int) as numVotes, case when numVotes >=
+    (select quantile_cont(numVotes, 0.8) from good) then 1 else 0 end as is_popular,
+  null as reason, cast(0 as bigint) as n from good
+union all select null, null, null, reason, count(*) from b where reason is not null group by reason""")
+def layers_with_rejects(spark, sf):
+    """A batch run of the first day and a stream of the second: refined rows and the rejects' reasons."""
+    root = workspace(spark, "layers")
+    cfg = RunConfig(root, RUN_TS, AS_OF_YEAR, keep_rejects=True)
+    file = TABLES["ratings"].file_name
+    _broken_files(spark, sf, f"{root}/given", file)
+    run_table(spark, "ratings", cfg, f"{root}/given/raw/day1/{file}")
+    incremental.incremental_medallion(spark, f"{root}/given/raw", "ratings", cfg,
+                                      f"{root}/checkpoint", layout=f"day2/{file}")
+    rows = readers.read_layer(spark, cfg.path("refined", "ratings")).select(
+        "tconst", "numVotes", "is_popular", F.lit(None).cast("string").alias("reason"),
+        F.lit(0).cast("long").alias("n"))
+    why = spark.read.parquet(cfg.path("rejects", "ratings")).groupBy("reason").agg(
+        F.count(F.lit(1)).alias("n"))
+    none = F.lit(None)
+    return rows.unionByName(why.select(
+        none.cast("string").alias("tconst"), none.cast("int").alias("numVotes"),
+        none.cast("int").alias("is_popular"), "reason", "n"))

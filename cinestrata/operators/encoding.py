@@ -38,12 +38,17 @@ def genre_dummies(df: DataFrame, k: int = 10, fit_on: DataFrame | None = None) -
         flag(primary_genre() == g, null_as_zero=True).alias(f"genre_{g}") for g in genres])
 
 
-def decade_dummies(df: DataFrame, k: int = 6, fit_on: DataFrame | None = None) -> DataFrame:
-    """Indicators of the last k decades."""
-    source = df if fit_on is None else fit_on
-    years = [r["value"] for r in last_keys(source, decade(), k).collect()]
+def last_decades(df: DataFrame, k: int = 6) -> list[int]:
+    return [r["value"] for r in last_keys(df, decade(), k).collect()]
+
+
+def decade_dummies(df: DataFrame, k: int = 6, fit_on: DataFrame | None = None,
+                   decades: Sequence[int] | None = None) -> DataFrame:
+    """Indicators of the last k decades, or of the named ones."""
+    if decades is None:
+        decades = last_decades(df if fit_on is None else fit_on, k)
     return df.select("*", *[
-        flag(decade() == y, null_as_zero=True).alias(f"decade_{y}") for y in years])
+        flag(decade() == y, null_as_zero=True).alias(f"decade_{y}") for y in decades])
 
 
 def one_hot_vector(train: DataFrame, column: str, out: str):

@@ -22,17 +22,24 @@ def _bytes(stats: DataFrame, key: str) -> int:
     return row["n"] * 16 * len(stats.columns) + (row["key_bytes"] or 0)
 
 
+def measured(stats: DataFrame, key: str) -> tuple[DataFrame, int]:
+    """The statistics written once to the checkpoint folder, and their size."""
+    stats = checkpointed(stats)
+    return stats, _bytes(stats, key)
+
+
 def attach_stats(df: DataFrame, stats: DataFrame, key: str,
-                 broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+                 broadcast_bytes: int = BROADCAST_BYTES, size: int | None = None) -> DataFrame:
     """Left join ``stats`` (one row of numbers per key) on ``df``.
 
-    The statistics are written once to the checkpoint folder and measured there. A
+    The statistics are :func:`measured` first, unless their ``size`` is given. A
     small table is broadcast. Otherwise rows of frequent or missing keys are joined
     with the few statistics of those keys by broadcast, so that no task gets a whole
     hot group, and the remaining rows by a shuffled join.
     """
-    stats = checkpointed(stats)
-    if _bytes(stats, key) <= broadcast_bytes:
+    if size is None:
+        stats, size = measured(stats, key)
+    if size <= broadcast_bytes:
         return df.join(F.broadcast(stats), key, "left")
     # The rows are read to find hot keys, then for each of the two joins: written once.
     df = materialised(df, "probe")

@@ -7,8 +7,10 @@ the target into the test part.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cinestrata.functions import modelset
 from cinestrata.functions.bands import flag
@@ -16,8 +18,9 @@ from cinestrata.functions.tables import with_features
 from cinestrata.operators.aggregates import top_names
 from cinestrata.operators.cleaning import filter_movies, filter_rated
 from cinestrata.operators.columns import align_features, columns_with_prefix
-from cinestrata.operators.encoding import categories, decade_dummies, genre_dummies, one_hot
-from cinestrata.operators.lookup import with_group_count, with_group_stat
+from cinestrata.operators.encoding import (
+    categories, decade_dummies, genre_dummies, last_decades, one_hot)
+from cinestrata.operators.lookup import attach_stats, measured, with_group_stat
 from cinestrata.operators.scaling import minmax
 from cinestrata.schema import RUN_COLUMNS
 from cinestrata.session import materialised
@@ -43,15 +46,18 @@ def build_model_set(ratings: DataFrame, basics: DataFrame, min_votes: int = 100)
     return filter_rated(ratings, min_votes).join(movies, KEY)
 
 
+def _genre_stats() -> list[Column]:
+    return [F.avg("numVotes").alias("genre_avg_votes"), F.avg(LABEL).alias("genre_avg_rating")]
+
+
+def _first_genre(df: DataFrame) -> DataFrame:
+    return df.withColumn("primary_genre", modelset.primary_genre())
+
+
 def with_genre_stats(df: DataFrame, fit_on: DataFrame | None = None) -> DataFrame:
     """Average votes and rating of the first genre, attached to each row."""
-    def keyed(frame: DataFrame) -> DataFrame:
-        return frame.withColumn("primary_genre", modelset.primary_genre())
-
-    return with_group_stat(
-        keyed(df), "primary_genre",
-        [F.avg("numVotes").alias("genre_avg_votes"), F.avg(LABEL).alias("genre_avg_rating")],
-        fit_on=None if fit_on is None else keyed(fit_on))
+    return with_group_stat(_first_genre(df), "primary_genre", _genre_stats(),
+                           fit_on=None if fit_on is None else _first_genre(fit_on))
 
 
 def _base(df: DataFrame, as_of_year: int, fit_on: DataFrame | None) -> DataFrame:
@@ -78,24 +84,33 @@ def assemble_v2(df: DataFrame, as_of_year: int = 2024, genres: int = 15, decades
 
     ``use_votes=False`` leaves out what is known only after release.
     """
-    # Vocabularies, statistics and the matrix read the rows several times.
-    df = materialised(df, "assembly")
-    fit_on = None if fit_on is None else materialised(fit_on, "assembly-fit")
-    source = df if fit_on is None else fit_on
-    genre_names = top_names(source, "genres", genres, as_list=True)
-    eras = categories(source.select(modelset.cinema_era().alias("era")), "era")
-    flags = modelset.genre_flags(genre_names)
+    # Vocabularies and statistics are short jobs over the same rows: written once, run together.
+    with ThreadPoolExecutor(5) as pool:
+        rows = pool.submit(materialised, df, "assembly")
+        if fit_on is not None:
+            fit_on = pool.submit(materialised, fit_on, "assembly-fit").result()
+        df = rows.result()
+        source = df if fit_on is None else fit_on
+        named = pool.submit(top_names, source, "genres", genres, as_list=True)
+        found_eras = pool.submit(
+            categories, source.select(modelset.cinema_era().alias("era")), "era")
+        found_decades = pool.submit(last_decades, source, decades)
+        by_year = pool.submit(measured, source.where("startYear is not null").groupBy(
+            "startYear").agg(F.count(F.lit(1)).alias("year_movie_count")), "startYear")
+        by_genre = pool.submit(measured, _first_genre(source).groupBy("primary_genre").agg(
+            *_genre_stats()), "primary_genre")
+    eras, flags = found_eras.result(), modelset.genre_flags(named.result())
 
     wide = with_features(_base(df, as_of_year, fit_on), flags)
     wide = with_features(wide, modelset.interactions(wide.columns, as_of_year))
     wide = with_features(wide, {
         "num_genres": modelset.num_genres(),
         **{f"era_{e}": flag(modelset.cinema_era() == e) for e in eras}})
-    wide = decade_dummies(wide, decades, fit_on)
-    wide = with_group_count(wide, "startYear", "year_movie_count") if fit_on is None else \
-        with_group_stat(wide, "startYear", [F.count(F.lit(1)).alias("year_movie_count")],
-                        fit_on=fit_on)
-    wide = with_genre_stats(wide, fit_on)
+    wide = decade_dummies(wide, decades=found_decades.result())
+    counts, size = by_year.result()
+    wide = attach_stats(wide, counts, "startYear", size=size)
+    stats, size = by_genre.result()
+    wide = attach_stats(_first_genre(wide), stats, "primary_genre", size=size)
 
     names = [n for n in NUMERIC_V2
              if use_votes or n not in ("numVotes", "genre_avg_votes", "votes_per_age")]

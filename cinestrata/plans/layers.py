@@ -21,6 +21,7 @@ from cinestrata.schema import (
     BATCH_COLUMN, BATCH_RUN, NULL_TOKEN, PARTITION_COLUMNS, table)
 from cinestrata.sources.claims import claimed
 from cinestrata.sources.catalog import add_columns, add_partitions, register_table
+from cinestrata.sources.quarantine import accepted
 from cinestrata.sources.readers import read_layer, read_raw_tsv
 from cinestrata.sources.sinks import add_ingestion_metadata, balanced, write_layer
 
@@ -40,6 +41,7 @@ class RunConfig:
     vote_threshold: float | None = None  # a known threshold spares the quantile's scan
     rebalance: bool = True  # one shuffle, for RAW in few unsplittable files
     feature_variant: str = "standard"  # or "extended": the second variant of the features
+    keep_rejects: bool = False  # rows that cannot be read go to ``rejects``, and counts to ``read``
     stale_seconds: float = 600.0  # a run that shows no sign of life for so long may be repeated
 
     def __post_init__(self) -> None:
@@ -109,8 +111,12 @@ def run_table(spark: SparkSession, name: str, cfg: RunConfig, raw_path: str,
         if claim is None or not force and run_exists(
                 spark, cfg.path("refined", name), cfg.run_ts):
             return False
-        spec = table(name)
-        raw = read_raw_tsv(spark, raw_path, spec.raw_schema, null_token=NULL_TOKEN)
+        if cfg.keep_rejects:
+            lines = spark.read.text(raw_path)
+            raw = accepted(lines, name, cfg.path("rejects", name), cfg.path("read", name),
+                           f"{cfg.run_ts[:10]}-{BATCH_RUN}")
+        else:
+            raw = read_raw_tsv(spark, raw_path, table(name).raw_schema, null_token=NULL_TOKEN)
         clean = CLEANERS.get(name, clean_generic)(raw)
         rows = balanced(clean) if cfg.rebalance else clean
         write_layer(add_ingestion_metadata(rows, cfg.run_ts), cfg.path("trusted", name),

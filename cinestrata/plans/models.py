@@ -28,6 +28,9 @@ PREDICTION = "prediction"
 # Least share of the training rows in a leaf: bounds a tree by 1 / share leaves at any size, and
 # a hundred trees by two million nodes, which the driver holds.
 LEAF_SHARE = 1e-4
+# Tree learners run a job per level and tree over all rows; tasks with fewer rows than this are
+# mostly overhead.
+TASK_ROWS = 20_000
 
 
 class Predictor(Protocol):
@@ -46,6 +49,11 @@ def _fit(train: DataFrame, features: Sequence[str], learner) -> PipelineModel:
     return Pipeline(stages=[assemble, learner]).fit(train)
 
 
+def _packed(train: DataFrame, rows: int) -> DataFrame:
+    """Few partitions for few rows, without a shuffle; large frames stay as they are."""
+    return train.coalesce(max(1, math.ceil(rows / TASK_ROWS)))
+
+
 def fit_linear(train: DataFrame, features: Sequence[str], label: str = LABEL) -> PipelineModel:
     """Ordinary least squares from one pass of normal equations."""
     return _fit(train, features, LinearRegression(labelCol=label, solver="normal"))
@@ -80,8 +88,9 @@ def fit_forest(train: DataFrame, features: Sequence[str], label: str = LABEL,
     A leaf has ``min_leaf`` rows or ``LEAF_SHARE`` of all, whichever is more, so the model
     does not grow with the data.
     """
-    least = max(min_leaf, math.ceil(train.count() * LEAF_SHARE))
-    return _fit(train, features, RandomForestRegressor(
+    rows = train.count()
+    least = max(min_leaf, math.ceil(rows * LEAF_SHARE))
+    return _fit(_packed(train, rows), features, RandomForestRegressor(
         labelCol=label, numTrees=trees, maxDepth=max_depth, minInstancesPerNode=least,
         featureSubsetStrategy="all", maxBins=max_bins, maxMemoryInMB=1024, seed=seed,
         bootstrap=bootstrap))
@@ -97,7 +106,7 @@ def fit_gbt(train: DataFrame, features: Sequence[str], label: str = LABEL, trees
             depth: int = 6, rate: float = 0.1, subsample: float = 0.8, min_leaf: int = 1,
             seed: int = 42) -> PipelineModel:
     """Gradient-boosted trees; lineage is cut through the checkpoint folder."""
-    return _fit(train, features, GBTRegressor(
+    return _fit(_packed(train, train.count()), features, GBTRegressor(
         labelCol=label, maxIter=trees, maxDepth=depth, stepSize=rate,
         subsamplingRate=subsample, minInstancesPerNode=min_leaf, maxBins=64,
         maxMemoryInMB=1024, checkpointInterval=10, seed=seed))

@@ -101,8 +101,8 @@ def _write(df: DataFrame, path: str, label: str) -> None:
      .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COLUMN).parquet(path))
 
 
-def _store(lines: DataFrame, name: str, out: str, rejects: str, log: str, label: str) -> None:
-    """One batch of lines: cleaned good rows, rejects and counts by file, under its label.
+def accepted(lines: DataFrame, name: str, rejects: str, log: str, label: str) -> DataFrame:
+    """The good raw rows of one batch of lines; its rejects and counts by file are written.
 
     The text is split once and written; rows, rejects and counts are read from there.
     """
@@ -111,16 +111,22 @@ def _store(lines: DataFrame, name: str, out: str, rejects: str, log: str, label:
     if missing:
         raise ValueError(f"no header of {name} in {', '.join(r['file'] for r in missing)}")
     found = checked(every, name)
-    _write(CLEANERS[name](good_rows(found, name)), out, label)
     _write(rejected(found, every.select(*_PLACE)), rejects, label)
     _write(counts(found), log, label)
+    return good_rows(found, name)
+
+
+def _store(lines: DataFrame, name: str, root: str, label: str) -> None:
+    """One batch of lines: rejects, counts by file and the cleaned good rows, under its label."""
+    good = accepted(lines, name, f"{root}/rejects", f"{root}/counts", label)
+    _write(CLEANERS[name](good), f"{root}/rows", label)
 
 
 def ingest_checked(spark: SparkSession, raw: str, name: str, root: str,
                    label: str = "run") -> None:
     """Files below ``raw`` to ``rows``, ``rejects`` and ``counts`` of ``root``, as one batch."""
     lines = spark.read.option("recursiveFileLookup", True).text(raw)
-    _store(lines, name, f"{root}/rows", f"{root}/rejects", f"{root}/counts", label)
+    _store(lines, name, root, label)
 
 
 def ingest_checked_stream(spark: SparkSession, raw: str, name: str, root: str,
@@ -135,7 +141,7 @@ def ingest_checked_stream(spark: SparkSession, raw: str, name: str, root: str,
     stream = reader.text(raw).select("value", "_metadata")
 
     def run(batch: DataFrame, number: int) -> None:
-        _store(batch, name, f"{root}/rows", f"{root}/rejects", f"{root}/counts", f"stream-{number}")
+        _store(batch, name, root, f"stream-{number}")
 
     (stream.writeStream.foreachBatch(run).option("checkpointLocation", f"{root}/checkpoint")
      .trigger(availableNow=True).start().awaitTermination())

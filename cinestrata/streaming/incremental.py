@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQueryListener
 from cinestrata.operators.cleaning import CLEANERS
 from cinestrata.plans.layers import RunConfig, refine_date
 from cinestrata.schema import BATCH_COLUMN, NULL_TOKEN, TABLES, table
+from cinestrata.sources.quarantine import accepted
 from cinestrata.sources.sinks import add_ingestion_metadata, balanced, write_layer
 
 __all__ = ["BATCH_COLUMN", "file_type", "incremental_medallion", "ingest_incremental",
@@ -28,6 +29,20 @@ def file_type(path: Column) -> Column:
     return F.coalesce(*names)
 
 
+def read_arriving_lines(spark: SparkSession, raw_dir: str, name: str,
+                        files_per_batch: int | None = None,
+                        layout: str | None = None) -> DataFrame:
+    """A stream of the lines of one table's files, with ``_metadata``; see :func:`read_arrivals`."""
+    reader = spark.readStream
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if layout is None:
+        reader = reader.option("recursiveFileLookup", True)
+    lines = reader.text(raw_dir if layout is None else f"{raw_dir}/{layout}")
+    return lines.select("value", "_metadata").where(
+        file_type(F.col("_metadata.file_path")) == name)
+
+
 def read_arrivals(spark: SparkSession, raw_dir: str, name: str,
                   files_per_batch: int | None = None, layout: str | None = None) -> DataFrame:
     """A stream of the raw rows of one table; other tables' files in the folder are left out.
@@ -115,7 +130,8 @@ def incremental_medallion(spark: SparkSession, raw_dir: str, name: str, cfg: Run
     by the stream's id and its number. A batch that is tried again, on a later day too, keeps
     the date noted when it was first seen and replaces only itself. A new checkpoint is a new
     stream with names of its own. REFINED follows after the last batch; batches left behind by
-    a failure are caught up on by the next call.
+    a failure are caught up on by the next call. With ``keep_rejects`` the lines that are no rows
+    are kept per batch as well.
     """
     notes = f"{cfg.root}/_batches/{name}"
     stream: Future[str] = Future()
@@ -132,13 +148,16 @@ def incremental_medallion(spark: SparkSession, raw_dir: str, name: str, cfg: Run
 
     def run(batch: DataFrame, batch_id: int) -> None:
         label = f"{stream.result()}-{batch_id}"
+        if cfg.keep_rejects:
+            batch = accepted(batch, name, cfg.path("rejects", name), cfg.path("read", name), label)
         rows = CLEANERS[name](batch)
         if cfg.rebalance:
             rows = balanced(rows)
         write_layer(add_ingestion_metadata(rows, noted(label)), cfg.path("trusted", name),
                     batch=label)
 
-    query = (read_arrivals(spark, raw_dir, name, files_per_batch, layout).writeStream
+    read = read_arriving_lines if cfg.keep_rejects else read_arrivals
+    query = (read(spark, raw_dir, name, files_per_batch, layout).writeStream
              .foreachBatch(run).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     stream.set_result(str(query.id))
