@@ -17,6 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cinestrata.llm.common import WORD
+from cinestrata.operators.lookup import attach_stats
 from cinestrata.session import materialised
 
 WEIGHTS = (5, 2, 1)
@@ -30,22 +31,40 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def _ranked(sources: DataFrame) -> DataFrame:
-    """``sources`` with ``rank`` from 0: by code point, null last. Ranges are sorted apart.
+def _ranked(rows: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """``rows`` with ``rank`` from 0 in ``order`` over the whole table. Ranges are sorted apart.
 
     Strings compare by their UTF-8 bytes, which is the order of code points.
     """
-    part = F.spark_partition_id()
-    ranged = sources.repartitionByRange(F.col("source").asc_nulls_last()).sortWithinPartitions(
-        F.col("source").asc_nulls_last()).withColumn("part", part)
-    placed = materialised(ranged.withColumn("row", F.monotonically_increasing_id()), "ranks")
-    parts = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("first"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = parts.select("part", "first", F.coalesce(F.sum("n").over(before), F.lit(0))
-                          .alias("before"))
-    return placed.join(F.broadcast(starts), "part").withColumn(
-        "rank", F.col("before") + F.col("row") - F.col("first")).drop(
-        "part", "row", "first", "before")
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({
+        "__part": F.spark_partition_id(), "__row": F.monotonically_increasing_id()})
+    placed = materialised(ranged, "ranks")
+    parts = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("n"),
+                                         F.min("__row").alias("__first"))
+    # As many rows as partitions.
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.select("__part", "__first", F.coalesce(F.sum("n").over(before), F.lit(0))
+                          .alias("__before"))
+    return placed.join(F.broadcast(starts), "__part").withColumn(
+        "rank", F.col("__before") + F.col("__row") - F.col("__first")).drop(
+        "__part", "__row", "__first", "__before")
+
+
+def _with_group(rows: DataFrame, figures: DataFrame, group: Sequence[str]) -> DataFrame:
+    """``rows`` with the figures of their group, one row of ``figures`` each.
+
+    Figures of all rows together come as constants. Those of groups are broadcast while they
+    are few; beyond, the rows of frequent groups are joined apart from the others.
+    """
+    if not group:
+        row = figures.first()
+        return rows.withColumns({f.name: F.lit(row[f.name]).cast(f.dataType)
+                                 for f in figures.schema.fields})
+    key = _text_key(*[F.col(g) for g in group])
+    few = materialised(figures.withColumn("__key", key).drop(*group), "figures")
+    n, length = few.agg(F.count(F.lit(1)), F.sum(F.octet_length("__key"))).first()
+    return attach_stats(rows.withColumn("__key", key), few, "__key", BROADCAST_BYTES,
+                        n * 64 + (length or 0)).drop("__key")
 
 
 def targets(sources: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST) -> DataFrame:
@@ -55,7 +74,8 @@ def targets(sources: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MO
     shared again by weight, until none is above. Each round is one pair of sums over sources.
     """
     weight = F.lit(list(map(int, weights)))[(F.col("rank") % len(weights)).cast("int")]
-    ranked = materialised(_ranked(sources).withColumn("weight", weight), "weights")
+    ranked = materialised(_ranked(sources, [F.col("source").asc_nulls_last()]).withColumn(
+        "weight", weight), "weights")
     total = ranked.agg(F.sum("source_size")).first()[0] or 0
     cap, level, before = F.col("source_size") * most, 0.0, None
     while True:
@@ -78,31 +98,38 @@ def apportioned(claims: DataFrame, group: Sequence[str], share: str, seats: str,
     floor((share / d + 1) / 2) quotients of at least d, so m rows of a group have
     between total / 2d - m / 2 and total / 2d + m / 2 of them. Quotients above the larger of
     two such d are seats for certain; of those between the two, at most about 2m in all, the
-    highest follow until the seats are given out. Ties go by ``order``.
+    highest follow until the seats are given out. Ties go by ``order``. Sums are aggregates and
+    ranks come from range partitions, so neither a group nor the table meets in one task.
     """
-    whole = Window.partitionBy(*[F.col(c) for c in group])
-    rows = F.count(F.lit(1)).over(whole)
-    total, top = F.sum(share).over(whole), F.max(share).over(whole)
-    room = F.col(seats) - rows / 2
-
-    def quotients(divisor: str) -> Column:
-        return F.when(F.col(share) > 0, F.floor((F.col(share) / F.col(divisor) + 1) / 2)
+    names = claims.columns
+    claims = materialised(claims, "claims")
+    marked = _with_group(claims, claims.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("__rows"), F.sum(share).alias("__total"),
+        F.max(share).alias("__top")), group)
+    room, total = F.col(seats) - F.col("__rows") / 2, F.col("__total")
+
+    def quotients(divisor: Column) -> Column:
+        return F.when(F.col(share) > 0, F.floor((F.col(share) / divisor + 1) / 2)
                       ).otherwise(F.lit(0)).cast("long")
 
-    marked = claims.withColumns({
-        "__upper": F.when(room > 0, total / (2 * room)).otherwise(2 * top + 1),
-        "__lower": total / (2 * F.col(seats) + rows + 1)})
-    marked = marked.withColumns({"__sure": quotients("__upper"), "__most": quotients("__lower")})
-    marked = marked.withColumn("__open", F.col(seats) - F.sum("__sure").over(whole))
+    marked = marked.withColumns({
+        "__sure": quotients(F.when(room > 0, total / (2 * room)).otherwise(2 * F.col("__top") + 1)),
+        "__most": quotients(total / (2 * F.col(seats) + F.col("__rows") + 1))})
     # A row with nothing to list keeps one entry, which no seat is given to.
     listed = marked.withColumn("__k", F.explode(F.when(
         F.col("__most") > F.col("__sure"), F.sequence("__sure", F.col("__most") - 1)).otherwise(
         F.array(F.lit(-1).cast("long")))))
-    quotient = F.when(F.col("__k") >= 0, F.col(share) / (2 * F.col("__k") + 1))
-    highest = whole.orderBy(quotient.desc_nulls_last(), *order, "__k")
-    given = listed.withColumn("__given", (
-        (F.col("__k") >= 0) & (F.row_number().over(highest) <= F.col("__open"))).cast("long"))
-    names = claims.columns
+    listed = listed.withColumn("__quotient", F.when(
+        F.col("__k") >= 0, F.col(share) / (2 * F.col("__k") + 1)))
+    ranked = _ranked(materialised(listed, "quotients"), [
+        *[F.col(g) for g in group], F.col("__quotient").desc_nulls_last(), *order, F.col("__k")])
+    # A group's rows follow one another, so its smallest rank is where it starts.
+    one_each = F.when(F.col("__k").isin(-1) | (F.col("__k") == F.col("__sure")), F.col("__sure"))
+    starts = ranked.groupBy(*group).agg(F.min("rank").alias("__start"),
+                                        F.sum(one_each).alias("__given_out"))
+    given = _with_group(ranked, starts, group).withColumn("__given", (
+        (F.col("__k") >= 0) & (F.col("rank") - F.col("__start")
+                               < F.col(seats) - F.col("__given_out"))).cast("long"))
     return given.groupBy(*names, "__sure").agg(F.sum("__given").alias("__given")).select(
         *names, (F.col("__sure") + F.col("__given")).alias(out))
 
@@ -132,15 +159,14 @@ def mixed(docs: DataFrame, seed: str = "mix", block: int = BLOCK, shard_words: i
     found = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most)
     found = found.withColumn("shards", F.greatest(F.lit(1), F.ceil(
         F.col("source_size") / shard_words)).cast("long"))
-    claims = found.withColumn("seats", F.floor(F.sum("source_size").over(
-        Window.partitionBy(F.lit(0))) / block).cast("long"))
+    words = found.agg(F.sum("source_size")).first()[0] or 0
     sources = materialised(apportioned(
-        claims.withColumn("all", F.lit(0)), ["all"], "target", "seats",
-        [F.col("source").asc_nulls_last()], "source_seats").drop("all", "seats"), "quotas")
+        found.withColumn("seats", F.lit(words // block).cast("long")), [], "target", "seats",
+        [F.col("source").asc_nulls_last()], "source_seats").drop("seats"), "quotas")
 
     digest = F.md5(_text_key(F.lit(seed), F.col("id")))
     number = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
-    dealt = _by_source(rows.withColumn("digest", digest), sources).withColumn(
+    dealt = _with_group(rows.withColumn("digest", digest), sources, ["source"]).withColumn(
         "shard", number % F.col("shards"))
     shards = dealt.groupBy("source", "shard", "source_seats").agg(F.sum("size").alias("words"))
     quotas = apportioned(shards, ["source"], "words", "source_seats", ["shard"], "quota")
@@ -174,13 +200,3 @@ def mixed(docs: DataFrame, seed: str = "mix", block: int = BLOCK, shard_words: i
                          ranges.alias("chosen")).select(
         *[F.col("row").getField(c).alias(c) for c in names], "source_size", "target", "passes",
         "chosen", taken.alias("taken"))
-
-
-def _by_source(rows: DataFrame, sources: DataFrame) -> DataFrame:
-    """Rows with the figures of their source; the few sources are broadcast only if few."""
-    few = sources.select(F.col("source").alias("s"), "source_size", "target", "shards",
-                         "source_seats")
-    size = few.agg(F.count(F.lit(1)), F.sum(F.octet_length("s"))).first()
-    if size[0] * 64 + (size[1] or 0) <= BROADCAST_BYTES:
-        few = F.broadcast(few)
-    return rows.join(few, F.col("source").eqNullSafe(F.col("s"))).drop("s")
