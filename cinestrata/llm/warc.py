@@ -1,10 +1,11 @@
 """Deterministic sharded WARC writer and reader.
 
 Equal payloads are found by digest before anything is written: the row with the largest id
-becomes the response, the others revisit it. Rows are cut into shards at exact quantiles of
-the id and sorted, so the same table always gives the same files. A task writes its shards to
-temporary names, rolls to a new file when the compressed size is reached, and reports what it
-wrote. Only reported files are renamed and listed in the manifest; files of attempts that were
+becomes the response, the others revisit it. Rows are ordered by id and digest and cut into
+shards of equal bytes by running sums over range partitions, so the same table always gives the
+same files. The start of each shard travels as a mark among the rows. A task writes its run of
+shards to temporary names, rolls to a new file when the compressed size is reached, and reports
+what it wrote. Only reported files are renamed and listed in the manifest; files of attempts that were
 lost or repeated stay in the temporary folder, which goes at the end.
 """
 
@@ -12,24 +13,25 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import math
+import json
 import uuid
 import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from cinestrata.llm.common import narrowed, pieces
-from cinestrata.operators.quantiles import exact_quantiles
 from cinestrata.session import materialised
 
 DATE = "2025-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 LEVEL = 3
 READ = 1 << 20
+TASKS = 50_000       # tasks of the writer, each with one shard or a run of them
 _NAMESPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:page-record")
+_SHARD, _REVISIT, _PAGE = range(3)      # marks come before the rows that they belong to
 _FILES = "shard long, part long, file string, written string, records long, bytes long, sha256 string"
 _RECORDS = ("page_id long, payload_bytes long, payload_digest string, record_type string, "
             "refers_to long")
@@ -121,14 +123,47 @@ def _revisits(digests: DataFrame, least_bytes: int) -> DataFrame:
         ~F.col("page_id").eqNullSafe(F.col("first"))).select("page_id", "sha", "first").distinct()
 
 
-def _bounds(digests: DataFrame, shard_bytes: int) -> list[int]:
-    """Ids at which shards begin: exact quantiles, so they depend on the table alone."""
-    total = digests.select(F.sum("length")).first()[0] or 0
-    shards = math.ceil(total / max(shard_bytes, total / 10_000)) if total else 1
-    if shards < 2:
-        return []
-    found = exact_quantiles(digests, "page_id", [i / shards for i in range(1, shards)]).collect()
-    return sorted({math.ceil(r["value"]) for r in found})
+def shard_starts(digests: DataFrame, shard_bytes: int) -> DataFrame:
+    """``shard`` and the least ``page_id, sha`` of it.
+
+    Half of a place is its share of the bytes, half that of the records, so a shard has at most
+    twice ``shard_bytes`` and twice its part of the records, but for the last key in it. Rows of
+    one id or without one are told apart by digest. Ranges of the keys are summed up by themselves
+    and shifted by what stands before them, so the result depends on the table alone.
+    """
+    key = [F.col("page_id"), F.col("sha")]
+    placed = materialised(
+        digests.groupBy("page_id", "sha").agg(F.sum("length").alias("bytes"),
+                                              F.count(F.lit(1)).alias("records"))
+        .repartitionByRange(*key).withColumn("part", F.spark_partition_id()), "page-keys")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("part").orderBy(*key).rowsBetween(Window.unboundedPreceding, -1)
+    # As many rows as partitions.
+    parts = placed.groupBy("part").agg(F.sum("bytes").alias("bytes"),
+                                       F.sum("records").alias("records"))
+
+    def sums(window) -> list[Column]:
+        return [F.coalesce(F.sum(c).over(window), F.lit(0)).alias(c) for c in ("bytes", "records")]
+
+    local = placed.select("part", *key, *sums(within)).alias("here").join(
+        F.broadcast(parts.select("part", *sums(before)).alias("offset")), "part")
+    total, records = parts.agg(F.sum("bytes"), F.sum("records")).first()
+    shards = (total or 0) / shard_bytes
+    place = ((F.col("here.bytes") + F.col("offset.bytes")) / float(shard_bytes)
+             + (F.col("here.records") + F.col("offset.records")) * (shards / (records or 1))) / 2
+    return local.groupBy(F.floor(place).cast("long").alias("shard")).agg(
+        F.min(F.struct(*key)).alias("start")).select("shard", "start.page_id", "start.sha")
+
+
+def place_among(bounds: list[tuple[int | None, str]], page_id: Column, sha: Column) -> Column:
+    """How many of the ascending ``bounds`` are not above the key, by bisection; null ids come first."""
+    listed = F.from_json(F.lit(json.dumps([{"p": p, "s": s} for p, s in bounds])),
+                         "array<struct<p: bigint, s: string>>")
+    key = F.struct(page_id.alias("p"), sha.alias("s"))
+    steps = F.lit([1 << j for j in range(len(bounds).bit_length() - 1, -1, -1)])
+    # Beyond the last bound there is nothing to compare with and the place stays.
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        F.get(listed, at + step - 1) <= key, at + step).otherwise(at))
 
 
 def _writer(folder: str, temporary: str, file_bytes: int, date: str):
@@ -136,6 +171,7 @@ def _writer(folder: str, temporary: str, file_bytes: int, date: str):
         fs, base = pafs.FileSystem.from_uri(folder)
         attempt, out, shard, part = uuid.uuid4().hex, None, None, 0
         name, size, records, sha, mark = "", 0, 0, hashlib.sha256(), (None, None, None)
+        now = None
 
         def done() -> pa.RecordBatch:
             out.close()
@@ -146,15 +182,18 @@ def _writer(folder: str, temporary: str, file_bytes: int, date: str):
 
         for batch in pieces(batches, "payload"):
             for r in batch.to_pylist():
-                if r["first"] is not None and r["payload"] is None:
-                    mark = (r["page_id"], r["sha"], r["first"])
+                if r["kind"] == _SHARD:
+                    now = r["number"]
+                    continue
+                if r["kind"] == _REVISIT:
+                    mark = (r["page_id"], r["sha"], r["number"])
                     continue
                 revisit = mark[:2] == (r["page_id"], r["sha"])
-                if out is not None and (r["shard"] != shard or size >= file_bytes):
+                if out is not None and (now != shard or size >= file_bytes):
                     yield done()
                     out = None
-                if r["shard"] != shard:
-                    shard, part = r["shard"], -1
+                if now != shard:
+                    shard, part = now, -1
                 if out is None:
                     part, size, records, sha = part + 1, 0, 0, hashlib.sha256()
                     name = f"pages-{shard:06d}-{part:05d}.warc.gz"
@@ -194,7 +233,8 @@ def write_archives(pages: DataFrame, folder: str, shard_bytes: int = 16 << 20,
 
     ``folder`` must be a new or empty one that all executors reach. A null html is an empty
     payload, a null url leaves its header out, a null id is the smallest one and is left out of
-    the header. Payloads below ``least_bytes`` are always responses. Rows that share payload
+    the header. Very long payloads are single rows of a task and may exceed a shard's or file's size.
+    Payloads below ``least_bytes`` are always responses. Rows that share payload
     and the largest id are all responses. An empty table gives an empty manifest.
     """
     rows = narrowed(pages, page_id="long", url="string", html="string").select(
@@ -202,24 +242,27 @@ def write_archives(pages: DataFrame, folder: str, shard_bytes: int = 16 << 20,
     rows = rows.withColumn("sha", F.sha1("payload"))
     digests = materialised(rows.select("page_id", "sha", F.octet_length("payload").cast("long")
                                        .alias("length")), "page-digests")
-    bounds = _bounds(digests, shard_bytes)
-    shard = F.lit(0).cast("long")
-    if bounds:
-        listed = F.expr(f"array({', '.join(f'{b}L' for b in bounds)})")
-        shard = F.coalesce(F.when(F.col("page_id").isNull(), F.lit(0)).otherwise(
-            F.size(F.filter(listed, lambda b: b <= F.col("page_id")))), F.lit(0)).cast("long")
-    # Marks of revisits go the same way as the rows and sort before them: one shuffle of pages.
+    starts = materialised(shard_starts(digests, shard_bytes), "shard-starts")
+    # Each task has ``run`` shards; the driver gets the starts of tasks, a bounded number.
+    run = ((starts.agg(F.max("shard")).first()[0] or 0) // TASKS) + 1
+    bounds = starts.groupBy(F.floor(F.col("shard") / run)).agg(
+        F.min(F.struct("page_id", "sha")).alias("start")).orderBy("start").collect()
+    bounds = [tuple(r["start"]) for r in bounds][1:]
+    # Marks go the same way as the rows and sort before them: one shuffle of pages.
     none = F.lit(None)
-    both = rows.select("page_id", "sha", "url", "payload", none.cast("long").alias("first")).union(
-        _revisits(digests, least_bytes).select("page_id", "sha", none, none, "first"))
-    both = both.withColumn("shard", shard)
+    marks = starts.select("page_id", "sha", F.lit(_SHARD).alias("kind"),
+                          F.col("shard").alias("number")).union(
+        _revisits(digests, least_bytes).select("page_id", "sha", F.lit(_REVISIT), "first"))
+    both = rows.select("page_id", "sha", F.lit(_PAGE).alias("kind"), none.cast("long").alias("number"),
+                       "url", "payload").union(marks.select("*", none, none))
+    task = place_among(bounds, F.col("page_id"), F.col("sha")) if bounds else F.lit(0)
     fs, base = pafs.FileSystem.from_uri(folder)
     temporary = "_temporary"
     fs.create_dir(f"{base}/{temporary}")
-    # A shard is a task: hashing shards would leave tasks empty and give others several.
-    written = (both.repartitionById(len(bounds) + 1, F.col("shard").cast("int"))
-               .sortWithinPartitions("shard", "page_id", "sha", F.col("first").asc_nulls_last(),
-                                     "url")
+    # Numbered tasks: hashing would leave some empty and give others several.
+    written = (both.withColumn("task", task.cast("int"))
+               .repartitionById(len(bounds) + 1, F.col("task")).drop("task")
+               .sortWithinPartitions("page_id", "sha", "kind", "url")
                .mapInArrow(_writer(folder, temporary, file_bytes, date), _FILES))
     pending = f"{folder}/_pending"
     written.write.parquet(pending)

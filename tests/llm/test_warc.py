@@ -4,6 +4,7 @@ import hashlib
 import io
 
 import pytest
+from pyspark.sql import functions as F
 
 from cinestrata.llm import warc
 
@@ -77,3 +78,24 @@ def test_damage_is_found():
 def test_empty_table(spark, root):
     assert warc.write_archives(frame(spark, ROWS).limit(0), root).count() == 0
     assert warc.read_archives(spark, root).count() == 0
+
+
+def test_places_equal_a_look_at_every_bound(spark):
+    bounds = [(None, "b"), (None, "d"), (1, "a"), (1, "c"), (5, "a"), (2**62, "x")]
+    order = lambda k: (k[0] is not None, k[0] or 0, k[1])
+    keys = [(p, s) for p in (None, 0, 1, 2, 5, 2**62, 2**62 + 1) for s in "abcdxz"]
+    df = spark.createDataFrame(keys, "page_id long, sha string")
+    for n in range(1, len(bounds) + 1):
+        got = df.select("page_id", "sha", warc.place_among(
+            bounds[:n], F.col("page_id"), F.col("sha")).alias("at")).collect()
+        for r in got:
+            assert r["at"] == sum(order(b) <= order((r.page_id, r.sha)) for b in bounds[:n])
+
+
+def test_rows_of_one_id_or_none_fill_several_shards_and_tasks_hold_runs(spark, root, monkeypatch):
+    rows = [(None if i % 2 else 7, f"u{i}", f"{i}" * 500) for i in range(200)]
+    monkeypatch.setattr(warc, "TASKS", 4)
+    manifest = warc.write_archives(frame(spark, rows), root, shard_bytes=20_000).collect()
+    assert len({r.shard for r in manifest}) > 8
+    assert sum(r.records for r in manifest) == 200
+    assert sorted(map(tuple, warc.read_archives(spark, root).collect()), key=str) == brute(rows)
