@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from itertools import accumulate
 
@@ -30,6 +30,10 @@ LABELS = ("outside", *(f"{part}-{k}" for k in KINDS for part in ("first", "next"
 SAMPLE_ROWS = 1500       # documents whose sequences the field is trained on
 AROUND = 2               # words beside a word with a digit or @ that belong to its sequence
 LONGEST = 64             # words of a sequence; longer stretches are cut after so many
+BESIDE = 12              # words that a cut stretch sees on both sides when it is decoded
+DECODED = 2048           # pieces of stretches that are decoded at once
+WORD_LONGEST = 200       # sequences with longer words are no training rows
+RUNS = 12                # runs of characters that a long word's shape has of its begin and its end
 ROUNDS = 120
 REWRITTEN = 480          # sequences with hits whose other forms are added, evenly by kind
 CERTAIN = 0.9            # share of decoded words of a shape that must be of the kind in training
@@ -91,26 +95,39 @@ def spelled(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
 
 
+def _run(word: str, at: int, step: int) -> tuple[int, str]:
+    """The end of the run that begins at ``at``, going on by ``step``, and its sign."""
+    c, to, n = word[at], at + step, len(word)
+    if "0" <= c <= "9":
+        while 0 <= to < n and "0" <= word[to] <= "9":
+            to += step
+        return to, f"{min(abs(to - at), 20)}d"
+    if c.isalpha():
+        while 0 <= to < n and word[to].isalpha():
+            to += step
+        return to, "a"
+    while 0 <= to < n and word[to] == c:
+        to += step
+    return to, c
+
+
 def shape(word: str) -> str:
-    """A word as classes of characters: runs of letters as one sign, of digits by their number."""
-    out, i, n = [], 0, len(word)
-    while i < n and len(out) < 24:
-        c = word[i]
-        j = i + 1
-        if "0" <= c <= "9":
-            while j < n and "0" <= word[j] <= "9":
-                j += 1
-            out.append(f"{min(j - i, 20)}d")
-        elif c.isalpha():
-            while j < n and word[j].isalpha():
-                j += 1
-            out.append("a")
-        else:
-            while j < n and word[j] == c:
-                j += 1
-            out.append(c)
-        i = j
-    return "".join(out)
+    """A word as classes of characters: runs of letters as one sign, of digits by their number.
+
+    A word of over ``2 * RUNS`` runs shows as many of its begin and of its end, with a tilde
+    between them.
+    """
+    out, at = [], 0
+    while at < len(word) and len(out) <= 2 * RUNS:
+        at, sign = _run(word, at, 1)
+        out.append(sign)
+    if len(out) <= 2 * RUNS:
+        return "".join(out)
+    ending, at = [], len(word) - 1
+    while len(ending) < RUNS:
+        at, sign = _run(word, at, -1)
+        ending.append(sign)
+    return "".join(out[:RUNS] + ["~"] + ending[::-1])
 
 
 def features(word: str) -> list[str]:
@@ -127,7 +144,7 @@ def features(word: str) -> list[str]:
 
 
 def sequences(text: str) -> list[list[tuple[int, int]]]:
-    """Stretches of words (start, end) around each word with a digit or @."""
+    """Stretches of words (start, end) around each word with a digit or @, however long."""
     if not _TRIGGER.search(text):
         return []
     words = [m.span() for m in _WORD.finditer(text)]
@@ -143,7 +160,7 @@ def sequences(text: str) -> list[list[tuple[int, int]]]:
             hits = words[first:last]
             out.append(hits)
         at = max(at, last)
-    return [s[i:i + LONGEST] for s in out for i in range(0, len(s), LONGEST)]
+    return out
 
 
 def reach_of(spans: list[Span]) -> list[int]:
@@ -198,12 +215,14 @@ def _decoys(digits: str) -> list[str]:
             f"({d[:4]})", f"({d[:3]})", f"{d[:3]} {d[3:6]}", "@name", f"@name{d[:2]}", "(at)", f"@ {d[:2]}"]
 
 
-def rewritten(rows: list[tuple[list[str], list[int]]], most: int = REWRITTEN
+def rewritten(rows: list[tuple[list[str], list[int]]], most: int = REWRITTEN,
+              left_out: Callable[[int], bool] = lambda form: False
               ) -> list[tuple[list[str], list[int]]]:
     """Sequences with other forms of their hits, at most about ``most`` of them, evenly by kind.
 
-    The words around a hit stay. Forms that a pattern still matches are left out. Each sequence
-    is followed by one with a decoy in place of the hit.
+    The words around a hit stay. Forms that a pattern still matches are left out, and those
+    whose number within the kind is ``left_out``. Each sequence is followed by one with a decoy
+    in place of the hit.
     """
     out, taken = [], [0] * len(KINDS)
     for words, labels in sorted((list(w), list(y)) for w, y in rows if any(y)):
@@ -224,7 +243,7 @@ def rewritten(rows: list[tuple[list[str], list[int]]], most: int = REWRITTEN
                 continue
             a, b = hits[0]
             # One sequence gives one form after another, so that every form has its share.
-            forms = _other_forms(kind, whole[a:b])
+            forms = [f for i, f in enumerate(_other_forms(kind, whole[a:b])) if not left_out(i)]
             form = forms[taken[kind] % len(forms)]
             decoys = _decoys(re.sub("[^0-9]", "", whole[a:b]))
             decoy = decoys[sum(taken) % len(decoys)].split(" ")
@@ -257,6 +276,22 @@ class Field:
                     out[i, j] = self.emit[ids].sum(axis=0)
         return out, sizes
 
+    def labels(self, stretches: list[list[str]]) -> list[list[int]]:
+        """The labels of stretches of any length.
+
+        A long one is cut into overlapping pieces, and a word has the label of the piece in which
+        it lies inside. Pieces are decoded in batches of bounded size.
+        """
+        cut = [(i, max(0, at - BESIDE), at) for i, s in enumerate(stretches)
+               for at in range(0, len(s), LONGEST)]
+        out: list[list[int]] = [[] for _ in stretches]
+        for first in range(0, len(cut), DECODED):
+            some = cut[first:first + DECODED]
+            told = self.decode([stretches[i][a:at + LONGEST + BESIDE] for i, a, at in some])
+            for (i, a, at), labels in zip(some, told):
+                out[i] += labels[at - a:at - a + LONGEST]
+        return out
+
     def decode(self, batch: list[list[str]]) -> list[list[int]]:
         """The best label sequence of each list of words: Viterbi over the whole batch at once."""
         if not batch or not self.names:
@@ -369,7 +404,7 @@ def added_spans(texts: list[str], base: list[list[Span]], model: Field) -> list[
     where = [(i, s) for i, t in enumerate(texts) for s in sequences(t)]
     words = [[texts[i][a:b] for a, b in s] for i, s in where]
     reach = [reach_of(b) for b in base]
-    for (i, spots), ws, labels in zip(where, words, model.decode(words)):
+    for (i, spots), ws, labels in zip(where, words, model.labels(words)):
         at = 0
         while at < len(labels):
             kind, last = (labels[at] - 1) // 2, at
@@ -395,16 +430,23 @@ def added_spans(texts: list[str], base: list[list[Span]], model: Field) -> list[
 
 
 def labelled_sequences(docs: DataFrame) -> DataFrame:
-    """``words, labels``: the labelled table that the patterns make of ``docs`` (doc_id, text)."""
+    """``words, labels``: the labelled table that the patterns make of ``docs`` (doc_id, text).
+
+    Stretches are cut after ``LONGEST`` words; rows with a word of over ``WORD_LONGEST``
+    characters are left out, which bounds what training collects.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
             words, labels = [], []
             for text in texts_of(batch):
                 spans = base_spans(text)
                 reach = reach_of(spans)
-                for s in sequences(text):
-                    words.append([text[a:b][:200] for a, b in s])
-                    labels.append(labels_of(s, spans, reach))
+                for stretch in sequences(text):
+                    for i in range(0, len(stretch), LONGEST):
+                        s = stretch[i:i + LONGEST]
+                        if max(b - a for a, b in s) <= WORD_LONGEST:
+                            words.append([text[a:b] for a, b in s])
+                            labels.append(labels_of(s, spans, reach))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(words, pa.list_(pa.string())), pa.array(labels, pa.list_(pa.int32()))],
                 ["words", "labels"])
@@ -412,16 +454,19 @@ def labelled_sequences(docs: DataFrame) -> DataFrame:
     return narrowed(docs, text="string").mapInArrow(run, "words array<string>, labels array<int>")
 
 
-def fit(labelled: DataFrame, rows: int = SAMPLE_ROWS) -> Field:
+def fit(labelled: DataFrame, rows: int = SAMPLE_ROWS,
+        left_out: Callable[[int], bool] = lambda form: False) -> Field:
     """A field from a labelled table (words, labels), of which about ``rows`` rows are taken by digest.
 
-    The table is small by contract; ``labelled_sequences`` of a sample of documents makes one.
+    Equal rows count once, so a frequent sequence is no more than one of them. The table is small
+    by contract; ``labelled_sequences`` of a sample of documents makes one.
     """
+    labelled = labelled.select("words", "labels").distinct()
     total = labelled.count()
     place = F.pmod(F.xxhash64("words"), F.lit(1 << 30)) / float(1 << 30)
     kept = labelled if total <= rows else labelled.where(place < rows / total)
     own = [(r["words"], r["labels"]) for r in kept.collect()]
-    return trained(own + rewritten(own))
+    return trained(own + rewritten(own, left_out=left_out))
 
 
 def sampled(docs: DataFrame, documents: int = 20_000) -> DataFrame:

@@ -11,6 +11,7 @@ from cinestrata.llm import pii
 from cinestrata.llm.queries import op1_pii
 
 SMALL = "/root/testdata/sf0.01"
+LEAST_UNSEEN = 0.2       # measured: 6 of 27; guards against a fall only
 
 
 def luhn(digits):
@@ -177,3 +178,48 @@ def test_labelling_is_linear_in_the_addresses():
     reach = pii.reach_of(spans)
     assert all(pii.labels_of(s, spans, reach)[0] == 1 for s in pii.sequences(text))
     assert time.perf_counter() - start < 20
+
+
+def test_spans_across_a_cut_are_found_whole(corpus_field):
+    before = ["page 7"] * 31 + ["on"]       # 63 words with a digit every two
+    for shift in range(6):
+        text = " ".join(before + ["w"] * shift + ["(743) 555-3824", "of 20"])
+        got = [(k, text[a:b]) for a, k, b in pii.added_spans([text], [pii.base_spans(text)],
+                                                            corpus_field)[0]]
+        assert got == [(3, "(743) 555-3824")], (shift, got)
+
+
+def test_pieces_of_long_stretches_are_labelled_as_the_whole(corpus_field):
+    rng = random.Random(7)
+    some = ["in", "1999", "(743)", "555-3824", "call", "4111.1111.1111.1111", "1,250", "81", ".", "x7"]
+    stretches = [[rng.choice(some) for _ in range(n)] for n in (1, 63, 64, 65, 128, 129, 700)]
+    assert corpus_field.labels(stretches) == corpus_field.decode(stretches)
+
+
+def test_shapes_of_long_words_show_both_ends():
+    assert pii.shape("a1.b22") == "a1d.a2d"
+    assert pii.shape("." * 30 + "x") == ".a"
+    word = "1a" * 12
+    assert pii.shape(word) == "1da" * 12
+    one, two = "1-" * 5000 + "22@a.b", "1-" * 5000 + "22(a.b"
+    assert pii.shape(one) != pii.shape(two) and "~" in pii.shape(one)
+    assert pii.shape(one).endswith("2d@a.a")
+
+
+def test_recall_on_forms_never_shown(spark):
+    """Half of the forms are kept from training, then the other half."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    table = pii.labelled_sequences(docs).distinct().cache()
+    hits = [(0, "jane.roe7@post4.example.org"), (1, "81.20.133.7"), (2, "4111111111111111"),
+            (3, "+1 (743) 555-3824")]
+    caught = total = 0
+    for rest in (0, 1):
+        model = pii.fit(table, left_out=lambda form: form % 2 == rest)
+        for kind, hit in hits:
+            for form in pii._other_forms(kind, hit)[rest::2]:
+                base, got = found_by(model, form)
+                if not base:
+                    total += 1
+                    caught += got == [(kind, form)]
+    print("forms never shown:", caught, "of", total)
+    assert total >= 20 and caught >= LEAST_UNSEEN * total
