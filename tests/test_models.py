@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
 from cinestrata.plans import evaluation, models, scoring
@@ -181,3 +182,19 @@ def test_metrics_leave_out_rows_without_prediction(spark):
     rows = [(1.0, 1.5), (2.0, 1.5), (3.0, 3.5), (90.0, None), (None, 4.0)]
     got = evaluation.metrics(spark.createDataFrame(rows, "y double, p double"), "y", "p").first()
     assert got["n"] == 3 and got["r2"] == pytest.approx(1 - 0.75 / 2)
+
+
+def test_forest_keeps_node_ids_with_the_rows(spark, data):
+    # Otherwise every level's jobs carry all trees grown so far.
+    forest = models.fit_forest(data, ["a", "b"], trees=3, max_depth=6).stages[-1]
+    assert forest.getCacheNodeIds()
+    plain = RandomForestRegressor(
+        labelCol="averageRating", numTrees=3, maxDepth=6, featureSubsetStrategy="all", maxBins=64,
+        maxMemoryInMB=1024, seed=42)
+    rows = models._packed(data, data.count())
+    grown = models._fit(rows, ["a", "b"], plain).stages[-1]
+
+    def splits(model):
+        return [t.toDebugString.split("\n")[1:] for t in model.trees]
+
+    assert splits(grown) == splits(forest)
