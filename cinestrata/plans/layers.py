@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -144,11 +144,11 @@ def refine_date(spark: SparkSession, name: str, cfg: RunConfig, run_ts: str,
         raise
     state = _state_of(spark, name, cfg, run_ts)
     if state is None:
-        trusted = trusted.where(F.col(BATCH_COLUMN).isin(*batches))
+        trusted = _of_batches(trusted, run_ts, batches)
         refined = refine(trusted, name, cfg)
     else:
         now, affected = state.updated(trusted, batches)
-        trusted = trusted.where(F.col(BATCH_COLUMN).isin(*sorted({*batches, *affected})))
+        trusted = _of_batches(trusted, run_ts, {*batches, *affected})
         refined = refine(trusted, name, cfg, **now)
     write_layer(refined, refined_path)
     if state is not None:
@@ -163,6 +163,22 @@ def refine_date(spark: SparkSession, name: str, cfg: RunConfig, run_ts: str,
             add_partitions(spark, full, keys, written)
 
 
+def _of_batches(trusted: DataFrame, run_ts: str, batches: Iterable[str]) -> DataFrame:
+    """The batches' rows of the run date, with what names their partitions as constants.
+
+    A write sorts its rows by partition columns that come from files, and so holds or spills a
+    task's rows; constants need no sort. Several batches are still sorted by batch.
+    """
+    names = sorted({*batches})
+    ts = F.lit(run_ts).cast("timestamp")
+    known = dict(zip(PARTITION_COLUMNS, (F.year(ts), F.month(ts), F.dayofmonth(ts))))
+    if len(names) == 1:
+        known[BATCH_COLUMN] = F.lit(names[0])
+    types = {c: trusted.schema[c].dataType for c in known}
+    return trusted.where(F.col(BATCH_COLUMN).isin(*names)).withColumns(
+        {c: value.cast(types[c]) for c, value in known.items()})
+
+
 class _DateState:
     """The value counts of a run date's batches, and what was last derived of them.
 

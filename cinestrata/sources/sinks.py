@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from cinestrata.schema import BATCH_COLUMN, PARTITION_COLUMNS
 
@@ -17,8 +17,13 @@ def add_ingestion_metadata(df: DataFrame, run_ts: str, with_date: bool = False)
 
 
 def balanced(df: DataFrame) -> DataFrame:
-    """Let AQE cut the rows into partitions of even size, however few files they came from."""
-    return df.hint("rebalance")
+    """Let AQE cut the rows into partitions of even size, however few files they came from.
+
+    Rows are dealt by a hash of what they hold. Dealt in turns, a task would first sort all its
+    rows (so that a repeated task deals them alike), and spill those of a large file.
+    """
+    keys = [F.col(f"`{f.name}`") for f in df.schema if isinstance(f.dataType, T.AtomicType)]
+    return df.hint("rebalance", *keys)
 
 
 def write_layer(df: DataFrame, path: str, layout: str = "ingestion",

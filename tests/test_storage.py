@@ -125,3 +125,31 @@ def test_run_killed_half_way_is_repeated(spark, root, monkeypatch):
     os.utime(f"{root}/_claims/ratings/2025-09-28/claim-000004", (old, old))
     assert run_table(spark, "ratings", cfg, raw) is True
     assert read_layer(spark, cfg.path("refined", "ratings")).count() == 29
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_layer_writes_sort_no_rows(spark, root, monkeypatch):
+    cfg = RunConfig(root, "2025-09-28 12:00:00", 2024)
+    written = {}
+    write = layers.write_layer
+
+    def noted(df, path, **options):
+        written[path] = df
+        write(df, path, **options)
+
+    monkeypatch.setattr(layers, "write_layer", noted)
+    assert run_table(spark, "ratings", cfg, _raw(spark, root)) is True
+    # Dealt by hash: in turns, Spark sorts a task's rows before it deals them.
+    assert "hashpartitioning" in _plan(written[cfg.path("trusted", "ratings")])
+    # Partition columns are constants: the write needs no sort by them.
+    optimised = written[cfg.path("refined", "ratings")]._jdf.queryExecution().optimizedPlan()
+    text = optimised.toString()
+    for value, name in ((2025, "year"), (9, "month"), (28, "day"), ("run", "batch")):
+        assert f"{value} AS ingestion_{name}" in text
+    refined = spark.read.parquet(cfg.path("refined", "ratings"))
+    parts = refined.select("ingestion_year", "ingestion_month", "ingestion_day", "ingestion_batch")
+    assert [tuple(r) for r in parts.distinct().collect()] == [(2025, 9, 28, "run")]
+    assert refined.count() == spark.read.parquet(cfg.path("trusted", "ratings")).count()
