@@ -157,6 +157,10 @@ _EXTENDED = {
 }
 
 
+# Rows that a task groups by their features' text.
+_GROUPED_ROWS = 200_000
+
+
 def _text_of(columns):
     return ", ".join(f"coalesce(cast(\"{c}\" as varchar), '~')" for c in columns)
 
@@ -175,8 +179,12 @@ def layer_run_extended_all(spark, sf):
         refined = readers.read_layer(spark, cfg.path("refined", name))
         text = F.concat_ws("|", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("~"))
                                   for c in columns])
-        parts.append(refined.groupBy(F.lit(name).alias("table"), text.alias("features")).agg(
-            F.count(F.lit(1)).alias("n")))
+        # Nearly all texts differ: dealt by text first, a task counts about so many rows at every
+        # size, and not those of a scan task, which grow with the files it is given.
+        tasks = refined.count() // _GROUPED_ROWS + 1
+        counts = refined.select(text.alias("features")).repartition(tasks, "features").groupBy(
+            "features").agg(F.count(F.lit(1)).alias("n"))
+        parts.append(counts.select(F.lit(name).alias("table"), "features", "n"))
     return parts[0].unionByName(parts[1])
 
 
