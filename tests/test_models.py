@@ -198,3 +198,31 @@ def test_forest_keeps_node_ids_with_the_rows(spark, data):
         return [t.toDebugString.split("\n")[1:] for t in model.trees]
 
     assert splits(grown) == splits(forest)
+
+
+def test_forests_grow_in_a_task_per_core(spark, monkeypatch):
+    # A scan of one small file is one task, whatever the cluster has.
+    monkeypatch.setattr(models, "FOREST_ROWS", (100, 1000))
+    cores = spark.sparkContext.defaultParallelism
+
+    def sizes(rows):
+        train = spark.range(0, rows, 1, 1)
+        tasks = models._spread(train, rows)
+        assert tasks.count() == rows
+        return [r["count"] for r in tasks.groupBy(F.spark_partition_id()).count().collect()]
+
+    assert len(sizes(100)) == 1
+    assert len(sizes(150)) == min(2, cores)
+    assert len(sizes(100 * cores)) == len(sizes(200 * cores)) == cores
+    many = sizes(1000 * cores + 1)
+    assert len(many) == cores + 1 and max(many) < 2 * min(many)
+
+
+def test_fitted_forests_are_spread(spark, data, monkeypatch):
+    monkeypatch.setattr(models, "FOREST_ROWS", (100, 1000))
+    seen, fit = [], models._fit
+    monkeypatch.setattr(models, "_fit", lambda train, *rest: (seen.append(train), fit(train, *rest))[1])
+    model = models.fit_forest(data.coalesce(1), ["a", "b"], trees=3, max_depth=6)
+    assert seen[0].select(F.spark_partition_id()).distinct().count() == min(
+        6, spark.sparkContext.defaultParallelism)
+    assert r2(model, data) > 0.5
