@@ -226,3 +226,44 @@ def test_fitted_forests_are_spread(spark, data, monkeypatch):
     assert seen[0].select(F.spark_partition_id()).distinct().count() == min(
         6, spark.sparkContext.defaultParallelism)
     assert r2(model, data) > 0.5
+
+
+def test_shares_of_a_forest():
+    least, most = models.FOREST_ROWS
+    assert models._shares(12, least, 100) == [100]
+    assert models._shares(12, most, 3) == [3]
+    assert models._shares(1, most, 100) == [100]
+    assert models._shares(8, most, 100) == [13] * 4 + [12] * 4
+    assert models._shares(12, most + 1, 100) == [17] * 4 + [16] * 2
+    assert models._shares(12, 12 * most, 100) == [100]
+
+
+def test_a_forest_grows_in_shares(spark, data, root, monkeypatch):
+    # In one forest every core's task sums bins of the nodes of all trees.
+    monkeypatch.setattr(models, "FOREST_ROWS", (100, 1000))
+    seen, fit = [], models._fit
+
+    def noted(train, features, learner):
+        seen.append((train.select(F.spark_partition_id()).distinct().count(),
+                     learner.getNumTrees()))
+        return fit(train, features, learner)
+
+    monkeypatch.setattr(models, "_fit", noted)
+    model = models.fit_forest(data, ["a", "b"], trees=40, max_depth=6)
+    assert spark.sparkContext.defaultParallelism == 8
+    assert seen == [(2, 8)] * 5
+    forest = model.stages[-1]
+    assert forest.getNumTrees == 40 and forest.getSeed() == 42 and forest.numFeatures == 2
+    assert len({t.toDebugString.split("\n", 1)[1] for t in forest.trees}) == 40
+    assert r2(model, data) > 0.5
+
+    at = data.limit(20).collect()
+    for row in model.transform(spark.createDataFrame(at, data.schema)).collect():
+        votes = [t.predict(row["features"]) for t in forest.trees]
+        assert row["prediction"] == pytest.approx(sum(votes) / 40)
+    models.save_model(spark, model, f"{root}/shares", {"features": ["a", "b"], "r2_cv": 0.5})
+    loaded = models.load_model(spark, f"{root}/shares")[0]
+    assert loaded.stages[-1].getNumTrees == 40
+    assert loaded.stages[-1].toDebugString.split("\n")[1:] == forest.toDebugString.split("\n")[1:]
+    again = models.fit_forest(data, ["a", "b"], trees=40, max_depth=6).stages[-1]
+    assert again.toDebugString.split("\n")[1:] == forest.toDebugString.split("\n")[1:]
