@@ -267,3 +267,30 @@ def test_a_forest_grows_in_shares(spark, data, root, monkeypatch):
     assert loaded.stages[-1].toDebugString.split("\n")[1:] == forest.toDebugString.split("\n")[1:]
     again = models.fit_forest(data, ["a", "b"], trees=40, max_depth=6).stages[-1]
     assert again.toDebugString.split("\n")[1:] == forest.toDebugString.split("\n")[1:]
+
+
+def test_forests_of_any_size_have_leaves_of_the_given_size(spark):
+    # Over 10,000 rows a leaf once had a ten-thousandth of the rows at least, here two and three.
+    for rows in (9_000, 12_500, 22_500):
+        grid = spark.range(rows).selectExpr(
+            "cast(id % 50 as double) a", "cast(id div 50 % 50 as double) b", "id", "0.0d y")
+        alone = grid.withColumn("y", F.when(F.col("id") == 503, 9.0).otherwise(0.0)).where(
+            "id = 503 or not (a = 3 and b = 10)")
+        model = models.fit_forest(alone, ["a", "b"], "y", trees=1, max_depth=30, bootstrap=False)
+        assert model.stages[-1].getMinInstancesPerNode() == 1
+        assert model.transform(alone.where("id = 503")).first()["prediction"] == 9.0
+        assert model.transform(alone.where("id <> 503")).where("prediction <> 0").count() == 0
+
+
+def test_shares_follow_the_trees_alone(spark, monkeypatch):
+    # A forest of up to 8,000 rows was one share, of more rows several, with other bags.
+    monkeypatch.setattr(models, "FOREST_ROWS", (100, 1000))
+    seen, fit = [], models._fit
+    monkeypatch.setattr(models, "_fit", lambda train, features, learner: (
+        seen.append((learner.getSeed(), learner.getNumTrees())), fit(train, features, learner))[1])
+    for rows in (50, 100, 101, 3000):
+        data = spark.range(rows).selectExpr("cast(id as double) a", "cast(id % 7 as double) y")
+        forest = models.fit_forest(data, ["a"], "y", trees=17, max_depth=2).stages[-1]
+        assert sorted(seen) == [(42, 9), (42 + (1 << 20), 8)]
+        assert forest.getNumTrees == 17 and forest.getSeed() == 42
+        seen.clear()
