@@ -294,3 +294,9 @@ def test_shares_follow_the_trees_alone(spark, monkeypatch):
         assert sorted(seen) == [(42, 9), (42 + (1 << 20), 8)]
         assert forest.getNumTrees == 17 and forest.getSeed() == 42
         seen.clear()
+
+
+def test_tasks_of_a_share_are_large():
+    # Every task sums all bins of its share's nodes, however few rows each node has.
+    assert len(models._shares(12, 443_566, 100)) == 12
+    assert len(models._shares(12, 6_000_000, 100)) == 1
